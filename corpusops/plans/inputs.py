@@ -122,7 +122,7 @@ PREDS_CTE = """preds AS (
 # ---------------------------------------------------------------- vector search
 
 # one query per class: its first vector blended with the class mean; that vector is expected
-BLEND_SQL = "0.10 + 0.05 * (label % 5)"
+BLEND_SQL = "0.02 + 0.01 * (label % 5)"
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,7 +152,7 @@ _CONTENT = """concat('# ', file, '::', name, ' (', type, ')', chr(10),
   CASE WHEN docstring <> '' THEN concat('\"\"\"', docstring, '\"\"\"', chr(10)) ELSE '' END, code)"""
 
 _CODE_CTE = f"""{CHUNKS_CTE},
-content AS (SELECT *, md5(concat_ws('|', file, start_line, type, name)) AS key, {_CONTENT} AS content FROM chunks),
+content AS (SELECT * EXCLUDE (content), md5(concat_ws('|', file, start_line, type, name)) AS key, {_CONTENT} AS content FROM chunks),
 held AS (SELECT key AS id, content AS text FROM content),
 q(query_id, query, expected) AS (VALUES {EVAL_VALUES}),
 asked AS (SELECT query_id AS id, query AS text FROM q),
