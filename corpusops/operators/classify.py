@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.operators import splits
+from corpusops.operators.metrics import score_report
+from corpusops.operators.mutation import normal_form
 from corpusops.session import durable
 
 # Tokens kept per text, and the training budget.
@@ -58,6 +60,15 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.withColumns(added).select(*rows.columns, *added)
 
 
+def score_fresh(model: PipelineModel, examples: DataFrame, slots: int = 1 << 14) -> DataFrame:
+    """PASS or FAIL with names and confidence for (code, label, category) the model has not seen.
+
+    Code takes the normal form that the training examples have.
+    """
+    ready = examples.withColumn("code", normal_form(F.col("code")))
+    return score_report(predict(model, featurize(ready, "code", slots)).drop("counts"))
+
+
 def out_of_fold(rows: DataFrame, text: str, folds: int = splits.FOLDS, slots: int = 1 << 14) -> DataFrame:
     """Predict each fold with a model that has seen only the others; every row is predicted once.
 

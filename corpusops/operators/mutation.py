@@ -12,6 +12,7 @@ import ast
 import hashlib
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
@@ -237,6 +238,15 @@ def normalize(sources: DataFrame) -> DataFrame:
     return flat_map(sources.select("source_id", "code"), one, NORMALIZED)
 
 
+def normal_form(code: Column) -> Column:
+    """Canonical text as a column; text that does not parse stays as it is."""
+
+    def rewrite(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda text: text if text is None else _normal_form(text) or text)
+
+    return F.pandas_udf(rewrite, "string")(code)
+
+
 def example_key(seed: int = SEED) -> Column:
     return _draw(seed, "source_id", "label", "mutation", F.md5("code"))
 

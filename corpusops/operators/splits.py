@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.operators.ranking import hash_rank, key_at_fraction
+from corpusops.operators.skew import with_group_value
 from corpusops.session import durable
 
 # Share of groups held out, number of folds, seed.
@@ -15,9 +16,6 @@ TEST_SHARE = 0.2
 FOLDS = 5
 SEED = 42
 
-# groups with more than 1 / HEAVY_SHARE of all rows: fewer than HEAVY_SHARE of them exist
-HEAVY_SHARE = 1000
-
 
 def group_key(group: str | Column, seed: int = SEED) -> Column:
     column = F.col(group) if isinstance(group, str) else group
@@ -95,26 +93,10 @@ def group_folds(rows: DataFrame, group: str, folds: int = FOLDS, seed: int = SEE
 
 def group_kfold(rows: DataFrame, group: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
     """Adds ``fold``. Rows of heavy groups meet a small broadcast table instead of the shuffle."""
-    assigned = group_folds(rows, group, folds, seed)
+    assigned = durable(group_folds(rows, group, folds, seed))
     return with_group_value(rows, assigned, group, "fold")
 
 
-def with_group_value(rows: DataFrame, lookup: DataFrame, group: str, value: str) -> DataFrame:
-    """Add ``lookup``'s value (lookup: group, size, value) to rows, however the groups are sized.
-
-    Groups above the share 1 / HEAVY_SHARE of all rows are fewer than HEAVY_SHARE, so they are
-    broadcast. Their rows join the rest under a salted key that matches nothing and spreads them.
-    """
-    total = rows.select(F.count("*")).scalar()
-    is_heavy = F.col("size") * HEAVY_SHARE > total
-    heavy = lookup.where(is_heavy).select(group, F.col(value).alias("_heavy"))
-    light = lookup.where(~is_heavy).select(group, F.lit(0).alias("_salt"), F.col(value).alias("_light"))
-    marked = rows.join(F.broadcast(heavy), group, "left")
-    spread = F.when(F.col("_heavy").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(HEAVY_SHARE)))
-    joined = marked.withColumn("_salt", spread.cast("int")).join(light, [group, "_salt"], "left")
-    return joined.select(*[F.col(c) for c in rows.columns], F.coalesce("_heavy", "_light").alias(value))
-
-
 def fold_loads(folded: DataFrame, group: str) -> DataFrame:
     """Rows and groups per fold, from one row per group and fold."""
     per_group = folded.groupBy("fold", group).agg(F.count("*").alias("n"))

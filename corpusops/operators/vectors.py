@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from corpusops.sources.guards import require_path, require_rows
+from corpusops.sources.guards import require_path
 
 # Fixed value: hits per search unless the caller asks otherwise, and the message for none.
 DEFAULT_K = 4
@@ -51,12 +51,15 @@ def token_slots(text: Column, dims: int) -> Column:
 
 
 def slot_weights(slots: DataFrame, column: str, dims: int) -> np.ndarray:
-    """Inverse document frequency per slot, ``ln((n + 1) / (df + 1))``: ``dims`` numbers on the driver."""
-    seen = slots.select(F.explode(F.array_distinct(column)).alias("slot")).groupBy("slot").agg(F.count("*").alias("df"))
-    df = np.zeros(dims)
-    for slot, count in seen.collect():
+    """Inverse document frequency per slot, ``ln((n + 1) / (df + 1))``: ``dims`` numbers on the driver.
+
+    A slot -1 that every row has counts the rows in the same pass.
+    """
+    present = F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct(column)))
+    df = np.zeros(dims + 1)
+    for slot, count in slots.select(present.alias("slot")).groupBy("slot").agg(F.count("*")).collect():
         df[slot] = count
-    return np.log((slots.count() + 1) / (df + 1))
+    return np.log((df[-1] + 1) / (df[:-1] + 1))
 
 
 def weigh_slots(column: str, weights: np.ndarray) -> Column:
@@ -111,18 +114,21 @@ class ModelEmbedder:
 # ---------------------------------------------------------------- index tables
 
 
-def checked_vector(vector: Column, dims: int) -> Column:
+def with_checked_vectors(df: DataFrame, dims: int, vector: str = "embedding") -> DataFrame:
+    """Fails on a vector of another length, before it reaches an index."""
     wrong = F.raise_error(F.format_string(f"vector has %d dimensions, not {dims}", F.size(vector)))
-    return F.when(F.size(vector) == dims, vector).otherwise(wrong.cast("array<double>"))
+    checked = F.when(F.size(vector) == dims, F.col(vector)).otherwise(wrong.cast(df.schema[vector].dataType))
+    return df.withColumn(vector, checked)
 
 
 def build_index(chunks: DataFrame, embedder, path: str) -> int:
     """Embed chunks and write the index table; the row count comes from the same pass."""
-    require_rows(chunks, "no indexable chunks")
     seen = Observation("index")
     content = chunks.withColumn("content", embed_text())
     vectors = embedder.embed(content, "content").observe(seen, F.count("*").alias("rows"))
     save_index(vectors, path)
+    if not seen.get["rows"]:
+        raise ValueError("no indexable chunks")
     return seen.get["rows"]
 
 
@@ -153,8 +159,8 @@ def search(
     Distances are rounded to ``digits`` and ties go to the smaller id, so the order does not
     depend on how the index is partitioned. With fewer than k index rows, all are hits.
     """
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).cast("array<double>").alias("vector"))
-    held = index.select(F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("vector"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"))
+    held = index.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
     out = T.StructType([asked.schema["query_id"], held.schema["id"], T.StructField("distance", T.DoubleType())])
     count, dims = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
     slices = max(1, -(-count * (dims or 1) * 8 // slice_bytes))
@@ -190,12 +196,13 @@ def _scan(index: DataFrame, queries: DataFrame, k: int, digits: int, out: T.Stru
 
 
 def _matrix(vectors, dims: int | None) -> np.ndarray:
-    """Rows of a list column as one matrix; rows of unequal length are an error."""
+    """Rows of a list column as one matrix of doubles; rows of unequal length are an error."""
     values = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
     lengths = set(values.value_lengths().unique().to_pylist()) if len(values) else {dims or 0}
     if len(lengths) > 1 or (dims is not None and lengths != {dims}):
         raise ValueError(f"vector lengths {sorted(lengths, key=str)} where {dims or 'one length'} is wanted")
-    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), lengths.pop())
+    flat = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
+    return flat.reshape(len(values), lengths.pop())
 
 
 def _near(asked: np.ndarray, held: np.ndarray, ids: pd.Series, k: int, digits: int, best: pd.DataFrame | None):

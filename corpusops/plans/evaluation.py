@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusops.operators import classify, metrics, splits
-from corpusops.plans.inputs import PREDS_CTE, documents, preds, table, vectors
-from corpusops.session import scratch_path
+from corpusops.operators import classify, metrics, mutation, splits
+from corpusops.plans.inputs import PREDS_CTE, documents, preds, raw_sources, sources, table, vectors
+from corpusops.session import durable, scratch_path
 from corpusops.sources.examples import read_jsonl, with_correct, write_metrics
 
 EPOCHS = 15
@@ -101,9 +101,31 @@ def cv_predictions(spark, sf_dir):
     return predicted.select("doc_id", "source", "label", "fold", "predicted", "correct")
 
 
+def _code_model(spark, sf_dir):
+    """Examples of the code corpus split by source, and a model of the train side."""
+    rows = splits.group_holdout(durable(mutation.examples(sources(spark, sf_dir))), "source_id")
+    return rows, classify.fit(classify.featurize(rows.where(F.col("split") == "train"), "code"))
+
+
+def code_classifier_report(spark, sf_dir):
+    """Accuracy per kind of defect on sources that training has not seen."""
+    rows, model = _code_model(spark, sf_dir)
+    scored = classify.predict(model, classify.featurize(rows.where(F.col("split") == "test"), "code"))
+    return _rounded(metrics.by_category(scored, "mutation", worst_first=False), "ratio")
+
+
+def fresh_code_report(spark, sf_dir):
+    """Unformatted sources that training has not seen, all clean, scored one by one."""
+    _, model = _code_model(spark, sf_dir)
+    raw = splits.group_holdout(raw_sources(spark, sf_dir), "source_id").where(F.col("split") == "test")
+    fresh = raw.select("source_id", "code", F.lit(0).alias("label"), F.lit(mutation.CLEAN).alias("category"))
+    scored = classify.score_fresh(model, fresh)
+    return scored.select("source_id", "mark", "predicted_name", "expected_name", F.round("confidence", 4).alias("confidence"))
+
+
 def _scored(spark, sf_dir):
     """Two vector components as the scores of two classes."""
-    scores = F.slice("embedding", 1, 2)
+    scores = F.slice("embedding", 1, 2).cast("array<double>")
     rows = vectors(spark, sf_dir).select("id", (F.col("label") >= 6).cast("int").alias("label"), scores.alias("scores"))
     return splits.with_class_weight(rows, splits.class_weights(rows))
 
@@ -314,6 +336,8 @@ QUERIES = {
     ),
     "classifier_fit_predict": (classifier_fit_predict, None),
     "cv_predictions": (cv_predictions, None),
+    "code_classifier_report": (code_classifier_report, None),
+    "fresh_code_report": (fresh_code_report, None),
     "argmax_label": (
         argmax_label,
         "SELECT vec_id AS id, list_position(embedding, list_max(embedding)) - 1 AS predicted FROM embeddings",

@@ -7,6 +7,7 @@ text one of six templates. The same SQL expression builds it in Spark and in the
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -127,7 +128,7 @@ BLEND_SQL = "0.02 + 0.01 * (label % 5)"
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = table(spark, sf_dir, "embeddings")
-    return spread(emb).select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    return spread(emb).select(F.col("vec_id").alias("id"), "embedding", "label")
 
 
 def class_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -238,7 +239,7 @@ def passages_in_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _finder(shared):
-    def find(batches):
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
         by_text = {}
@@ -251,7 +252,4 @@ def _finder(shared):
         for batch in batches:
             yield pd.Series([sorted({i for _, ids in words.iter(t) for i in ids}) for t in batch])
 
-    from collections.abc import Iterator
-
-    find.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(find, "array<bigint>")

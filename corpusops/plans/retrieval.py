@@ -32,7 +32,7 @@ def knn_topk(spark, sf_dir):
 
 
 def index_roundtrip_search(spark, sf_dir):
-    held = vectors(spark, sf_dir).withColumn("embedding", V.checked_vector(F.col("embedding"), 64))
+    held = V.with_checked_vectors(vectors(spark, sf_dir), 64)
     path = V.save_index(held, scratch_path(spark, "index"))
     return V.search(V.load_index(spark, path), class_queries(spark, sf_dir))
 

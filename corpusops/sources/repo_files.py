@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from corpusops.operators.skew import salted_left_join
 from corpusops.schemas import FILE
 
 # Folder names a scan skips unless the caller names others, and the file suffix.
@@ -146,11 +147,14 @@ def decode_files(files: DataFrame) -> DataFrame:
 
 
 def lookup_files(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """Content of each requested path, or a message naming the path that is not there."""
+    """Content of each requested path, or a message naming the path that is not there.
+
+    Many requests may ask for one path, so the join is salted.
+    """
     # Fixed value: the not-found message.
     missing = F.format_string("Error: %s not found in repo.", F.col("path"))
     known = files.select("path", F.col("text"), F.lit(True).alias("found"))
-    return requests.join(known, "path", "left").select(
+    return salted_left_join(requests, known, "path").select(
         *requests.columns,
         F.coalesce("found", F.lit(False)).alias("found"),
         F.when(F.col("found"), F.col("text")).otherwise(missing).alias("output"),
