@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import IDF, HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,17 +49,17 @@ def pipeline(iterations: int = ITERATIONS, reg: float = 0.01) -> Pipeline:
 
 def fit(train: DataFrame, estimator: Pipeline | None = None) -> PipelineModel:
     """Weights come from the train side's class counts; a class without rows is an error."""
-    weights = splits.class_weights(train)
-    absent = [r["label"] for r in weights.where(F.col("weight").isNull()).collect()]
+    weights = {r["label"]: r["weight"] for r in splits.class_weights(train).collect()}
+    absent = [label for label, weight in weights.items() if weight is None]
     if absent:
         raise ValueError(f"no training rows of class {absent}")
-    return (estimator or pipeline()).fit(splits.with_class_weight(train, weights))
+    # two numbers: a literal keeps the plan that every iteration reads free of joins
+    weight = F.when(F.col("label") == 1, weights[1]).otherwise(weights[0])
+    return (estimator or pipeline()).fit(train.withColumn("weight", weight))
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Adds ``predicted`` and the ``confidence`` in it."""
-    from pyspark.ml.functions import vector_to_array
-
     scored = model.transform(rows).withColumn("p", vector_to_array("probabilities"))
     added = {"predicted": argmax(F.col("p")), "confidence": F.array_max("p")}
     return scored.withColumns(added).select(*rows.columns, *added)
@@ -72,15 +77,18 @@ def score_fresh(model: PipelineModel, examples: DataFrame, slots: int = 1 << 14)
 def out_of_fold(rows: DataFrame, text: str, folds: int = splits.FOLDS, slots: int = 1 << 14) -> DataFrame:
     """Predict each fold with a model that has seen only the others; every row is predicted once.
 
-    Features are cut to a shared table, as each of the k fits reads them several times.
+    Features are cut to a shared table, as each of the k fits reads them several times. The fits
+    are independent, so their jobs are submitted side by side.
     """
     ready = durable(featurize(rows, text, slots))
-    predicted = None
-    for fold in range(folds):
-        held_out = ready.where(F.col("fold") == fold)
-        part = predict(fit(ready.where(F.col("fold") != fold)), held_out).drop("counts")
-        predicted = part if predicted is None else predicted.unionByName(part)
-    return predicted
+
+    def held_out(fold: int) -> DataFrame:
+        model = fit(ready.where(F.col("fold") != fold))
+        return predict(model, ready.where(F.col("fold") == fold)).drop("counts")
+
+    with ThreadPoolExecutor(folds) as pool:
+        parts = list(pool.map(inheritable_thread_target(rows.sparkSession)(held_out), range(folds)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------- scores from logits

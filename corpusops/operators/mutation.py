@@ -102,7 +102,7 @@ def _written_with(tree: ast.AST, edit: tuple) -> str | None:
     before = getattr(owner, attribute)
     setattr(owner, attribute, value)
     try:
-        return ast.unparse(ast.fix_missing_locations(tree))
+        return ast.unparse(tree)
     except _UNPARSABLE:
         return None
     finally:

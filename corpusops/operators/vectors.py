@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
@@ -88,6 +88,18 @@ class HashedEmbedder:
         self.weights = slot_weights(slots, "slots", self.dims)
         return self
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        rows = [(slot, float(weight)) for slot, weight in enumerate(self.weights)]
+        spark.createDataFrame(rows, "slot int, weight double").coalesce(1).write.mode("overwrite").parquet(path)
+        return path
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> HashedEmbedder:
+        rows = spark.read.parquet(require_path(spark, path, f"no embedder at {path}")).orderBy("slot").collect()
+        embedder = cls(len(rows))
+        embedder.weights = np.array([r["weight"] for r in rows])
+        return embedder
+
     def embed(self, docs: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
         slotted = docs.withColumn("slots", token_slots(F.col(text), self.dims))
         return slotted.withColumn(out, weigh_slots("slots", self.weights)).drop("slots")
@@ -122,14 +134,12 @@ def with_checked_vectors(df: DataFrame, dims: int, vector: str = "embedding") ->
 
 
 def build_index(chunks: DataFrame, embedder, path: str) -> int:
-    """Embed chunks and write the index table; the row count comes from the same pass."""
-    seen = Observation("index")
-    content = chunks.withColumn("content", embed_text())
-    vectors = embedder.embed(content, "content").observe(seen, F.count("*").alias("rows"))
-    save_index(vectors, path)
-    if not seen.get["rows"]:
+    """Embed chunks and write the index table; its row count comes from the file footers."""
+    save_index(embedder.embed(chunks.withColumn("content", embed_text()), "content"), path)
+    rows = chunks.sparkSession.read.parquet(path).count()
+    if not rows:
         raise ValueError("no indexable chunks")
-    return seen.get["rows"]
+    return rows
 
 
 def save_index(vectors: DataFrame, path: str) -> str:
