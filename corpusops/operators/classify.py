@@ -34,7 +34,7 @@ def featurize(rows: DataFrame, text: str, slots: int = 1 << 14) -> DataFrame:
     return counted.transform(rows.withColumn("tokens", tokens(F.col(text)))).drop("tokens")
 
 
-def pipeline(iterations: int = ITERATIONS, reg: float = 0.01) -> Pipeline:
+def weighted_logistic(iterations: int = ITERATIONS, reg: float = 0.01) -> Pipeline:
     """IDF and a class-weighted logistic loss over ``counts``; both are fitted on the train side only."""
     return Pipeline(
         stages=[
@@ -55,7 +55,7 @@ def fit(train: DataFrame, estimator: Pipeline | None = None) -> PipelineModel:
         raise ValueError(f"no training rows of class {absent}")
     # two numbers: a literal keeps the plan that every iteration reads free of joins
     weight = F.when(F.col("label") == 1, weights[1]).otherwise(weights[0])
-    return (estimator or pipeline()).fit(train.withColumn("weight", weight))
+    return (estimator or weighted_logistic()).fit(train.withColumn("weight", weight))
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ SLICE_BYTES = 32 << 20
 # distances held at once by one task
 BLOCK_CELLS = 1 << 21
 PAIR_BLOCK = 1 << 15
+BROADCAST_HITS = 100_000
 
 
 # ---------------------------------------------------------------- text to vector
@@ -181,7 +182,9 @@ def search(
         found = part if found is None else found.unionAll(part)
     best = W.partitionBy("query_id").orderBy("distance", "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "id", "distance")
+    hits = ranked.select("query_id", "rank", "id", "distance")
+    # at most k rows per query, counted above: few hits need not shuffle the table they are joined to
+    return hits.hint("broadcast") if k * count <= BROADCAST_HITS else hits
 
 
 def _scan(index: DataFrame, queries: DataFrame, k: int, digits: int, out: T.StructType) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.session import spread
+from corpusops.session import durable, spread
 from corpusops.sources.repo_files import IGNORED_DIRS, decode_files, select_files
 
 ROOT = "/corpus"
@@ -143,7 +143,9 @@ def class_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     w = F.expr(f"CAST({BLEND_SQL} AS DOUBLE)")
     blend = F.zip_with("first", "mean", lambda a, b: w * a + (1 - w) * b)
-    return per_class.select(F.col("label").cast("bigint").alias("query_id"), "expected_id", blend.alias("embedding"))
+    queries = per_class.select(F.col("label").cast("bigint").alias("query_id"), "expected_id", blend.alias("embedding"))
+    # read several times, and the means cost a scan of the table
+    return durable(queries)
 
 
 SEARCH_CTE = f"""held AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
