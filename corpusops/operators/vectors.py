@@ -200,7 +200,9 @@ def _scan(index: DataFrame, queries: DataFrame, k: int, digits: int, out: T.Stru
             if batch.num_rows and len(names):
                 ids = batch.column("id").to_pandas()
                 vectors = _matrix(batch.column("vector"), asked_vectors.shape[1])
-                best = _merge(best, _near(asked_vectors, vectors, ids, k, digits, best), k)
+                near = _near(asked_vectors, vectors, ids, k, digits, best)
+                if near:
+                    best = _merge(best, near, k)
         if best is not None:
             best = best.assign(query_id=names.to_numpy()[best["query"]])
             yield pa.RecordBatch.from_pandas(best[["query_id", "id", "distance"]], preserve_index=False)
@@ -218,8 +220,10 @@ def _matrix(vectors, dims: int | None) -> np.ndarray:
     return flat.reshape(len(values), lengths.pop())
 
 
-def _near(asked: np.ndarray, held: np.ndarray, ids: pd.Series, k: int, digits: int, best: pd.DataFrame | None):
-    """Rows that may be among the k best of a query, with exact distances.
+def _near(
+    asked: np.ndarray, held: np.ndarray, ids: pd.Series, k: int, digits: int, best: pd.DataFrame | None
+) -> list[pd.DataFrame]:
+    """Rows that may be among the k best of a query, with exact distances; often none once ``best`` is good.
 
     A matrix product ranks them; its rounding error and the rounding of distances are allowed for
     in the cut, and the survivors' distances are taken again from the differences.
@@ -246,11 +250,11 @@ def _near(asked: np.ndarray, held: np.ndarray, ids: pd.Series, k: int, digits: i
             row, column = rows[cut : cut + PAIR_BLOCK] + at, columns[cut : cut + PAIR_BLOCK]
             exact = np.sqrt(((asked[row] - held[column]) ** 2).sum(axis=1)).round(digits)
             parts.append(pd.DataFrame({"query": row, "distance": exact, "id": ids.to_numpy()[column]}))
-    return pd.concat(parts)
+    return parts
 
 
-def _merge(best: pd.DataFrame | None, found: pd.DataFrame, k: int) -> pd.DataFrame:
-    rows = found if best is None else pd.concat([best, found])
+def _merge(best: pd.DataFrame | None, found: list[pd.DataFrame], k: int) -> pd.DataFrame:
+    rows = pd.concat(found if best is None else [best, *found])
     return rows.sort_values(["query", "distance", "id"]).groupby("query").head(k).reset_index(drop=True)
 
 

@@ -51,6 +51,18 @@ def test_search_in_small_blocks(spark, sets, monkeypatch):
     assert got == sorted((q, i, d) for q, _, i, d in brute(ids, held, asked_ids, asked, 6))
 
 
+def test_later_batches_without_a_near_row(spark):
+    held = np.vstack([np.zeros((5, 3)), np.full((400, 3), 9.0)])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        index = frame(spark, range(405), held).coalesce(1).sortWithinPartitions("id")
+        hits = V.search(index, frame(spark, [1], np.zeros((1, 3)), "query_id"), 5)
+        assert found(hits) == [(1, i + 1, i, 0.0) for i in range(5)]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_large_norms_and_text_ids(spark):
     rng = np.random.default_rng(6)
     held, asked = rng.normal(size=(80, 4)) + 5000, rng.normal(size=(4, 4)) + 5000
