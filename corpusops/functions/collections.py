@@ -68,7 +68,7 @@ def duplicates(items: Column) -> Column:
 
     Sorting puts equal values side by side, so one pass over neighbours finds them.
     """
-    ordered = F.array_sort(items)
+    ordered = F.sort_array(items)
     later = F.slice(ordered, F.lit(2), F.greatest(F.size(ordered) - 1, F.lit(0)))
     pairs = F.zip_with(ordered, later, lambda a, b: F.when(a == b, a))
     return F.array_distinct(F.array_compact(pairs))

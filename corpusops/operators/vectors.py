@@ -7,6 +7,7 @@ any size is searched exactly, with one scan of the index per slice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -40,41 +41,71 @@ def embed_text(file="file", name="name", kind="type", docstring="docstring", cod
     return F.concat_ws("\n", header, quoted, code)
 
 
-def word_tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}_]+"), lambda t: t != "")
+def raw_tokens(text: Column) -> Column:
+    """Lower-case words; empty strings at the ends do not count as tokens."""
+    return F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}_]+")
 
 
-def token_slots(text: Column, dims: int) -> Column:
-    """Slot of each token in a hashed vocabulary; md5 makes it the same in any engine."""
-    return F.transform(
-        word_tokens(text), lambda t: (F.conv(F.substring(F.md5(t), 1, 6), 16, 10).cast("int") % dims).cast("int")
-    )
+def _slot(token: str, dims: int) -> int:
+    """Slot of a token in a hashed vocabulary; md5 makes it the same in any engine. -1 is no token."""
+    return int(hashlib.md5(token.encode()).hexdigest()[:6], 16) % dims if token else -1
+
 
+def _slot_counts(tokens: pa.ListArray, dims: int) -> Iterator[np.ndarray]:
+    """Token counts per slot, as matrices of some rows each.
 
-def slot_weights(slots: DataFrame, column: str, dims: int) -> np.ndarray:
+    Equal tokens are hashed once per batch; the rest is index arithmetic.
+    """
+    coded = tokens.flatten().dictionary_encode()
+    slot_of = np.array([_slot(t, dims) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+    codes = coded.indices.to_numpy(zero_copy_only=False)
+    ends = np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))
+    step = max(1, BLOCK_CELLS // dims)
+    for at in range(0, len(tokens), step):
+        stop = min(at + step, len(tokens))
+        first = ends[at - 1] if at else 0
+        slots = slot_of[codes[first : ends[stop - 1]]] if len(codes) else codes
+        rows = np.repeat(np.arange(stop - at), np.diff(ends[at:stop], prepend=first))
+        real = slots >= 0
+        cells = rows[real] * dims + slots[real]
+        yield np.bincount(cells, minlength=(stop - at) * dims).reshape(stop - at, dims)
+
+
+def slot_weights(docs: DataFrame, text: str, dims: int) -> np.ndarray:
     """Inverse document frequency per slot, ``ln((n + 1) / (df + 1))``: ``dims`` numbers on the driver.
 
-    A slot -1 that every row has counts the rows in the same pass.
+    Each task sends one count per slot, and the number of its rows as slot -1.
     """
-    present = F.explode(F.concat(F.array(F.lit(-1)), F.array_distinct(column)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present, rows = np.zeros(dims, dtype=np.int64), 0
+        for batch in batches:
+            rows += batch.num_rows
+            for counts in _slot_counts(batch.column(0), dims):
+                present += (counts > 0).sum(axis=0)
+        yield pa.RecordBatch.from_pydict({"slot": np.arange(-1, dims), "n": np.append(rows, present)})
+
+    counted = docs.select(raw_tokens(F.col(text)).alias("tokens")).mapInArrow(count, "slot bigint, n bigint")
     df = np.zeros(dims + 1)
-    for slot, count in slots.select(present.alias("slot")).groupBy("slot").agg(F.count("*")).collect():
-        df[slot] = count
+    for slot, n in counted.groupBy("slot").agg(F.sum("n")).collect():
+        df[slot] = n
     return np.log((df[-1] + 1) / (df[:-1] + 1))
 
 
-def weigh_slots(column: str, weights: np.ndarray) -> Column:
-    """Unit vector of term counts times slot weights; all zero when nothing carries weight."""
+def weighed_tokens(tokens: Column, weights: np.ndarray) -> Column:
+    """Unit vector of token counts times slot weights; all zero when nothing carries weight."""
     dims = len(weights)
 
-    def build(slots: pd.Series) -> pd.Series:
-        vectors = []
-        for row in slots:
-            vector = np.bincount(row, minlength=dims) * weights if len(row) else np.zeros(dims)
-            vectors.append(vector / (np.sqrt(vector @ vector) or 1.0))
-        return pd.Series(vectors)
+    def build(batch: pa.Array) -> pa.Array:
+        blocks = [np.zeros((0, dims))]
+        for counts in _slot_counts(batch, dims):
+            block = counts * weights
+            norms = np.sqrt(np.einsum("ij,ij->i", block, block))
+            blocks.append(block / np.where(norms > 0, norms, 1.0)[:, None])
+        offsets = np.arange(len(batch) + 1, dtype=np.int32) * dims
+        return pa.ListArray.from_arrays(offsets, np.concatenate(blocks).ravel())
 
-    return F.pandas_udf(build, "array<double>")(F.col(column))
+    return F.arrow_udf(build, "array<double>")(tokens)
 
 
 class HashedEmbedder:
@@ -85,8 +116,7 @@ class HashedEmbedder:
         self.weights: np.ndarray | None = None
 
     def fit(self, docs: DataFrame, text: str = "text") -> HashedEmbedder:
-        slots = docs.select(token_slots(F.col(text), self.dims).alias("slots"))
-        self.weights = slot_weights(slots, "slots", self.dims)
+        self.weights = slot_weights(docs, text, self.dims)
         return self
 
     def save(self, spark: SparkSession, path: str) -> str:
@@ -102,8 +132,7 @@ class HashedEmbedder:
         return embedder
 
     def embed(self, docs: DataFrame, text: str = "text", out: str = "embedding") -> DataFrame:
-        slotted = docs.withColumn("slots", token_slots(F.col(text), self.dims))
-        return slotted.withColumn(out, weigh_slots("slots", self.weights)).drop("slots")
+        return docs.withColumn(out, weighed_tokens(raw_tokens(F.col(text)), self.weights))
 
 
 class ModelEmbedder:

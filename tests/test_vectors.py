@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from corpusops.operators import vectors as V
 
@@ -124,14 +123,14 @@ def test_index_life_cycle_and_rendering(spark, tmp_path):
 
 
 def test_hashed_vectors_have_unit_length_and_count_rows(spark):
-    docs = spark.createDataFrame([(1, "a b b"), (2, "b c"), (3, "")], "id int, text string")
+    docs = spark.createDataFrame([(1, "a b b"), (2, "b c"), (3, ""), (4, None)], "id int, text string")
     embedder = V.HashedEmbedder(32).fit(docs)
-    slots = {t: s for t, s in zip("abc", docs.limit(1).select(V.token_slots(F.lit("a b c"), 32)).first()[0])}
-    assert embedder.weights[slots["b"]] == pytest.approx(np.log(4 / 3))
-    assert embedder.weights[slots["a"]] == pytest.approx(np.log(4 / 2))
+    slots = {t: V._slot(t, 32) for t in "abc"}
+    assert embedder.weights[slots["b"]] == pytest.approx(np.log(5 / 3))
+    assert embedder.weights[slots["a"]] == pytest.approx(np.log(5 / 2))
     vectors = {r.id: np.array(r.embedding) for r in embedder.embed(docs).collect()}
-    assert np.linalg.norm(vectors[1]) == pytest.approx(1) and not vectors[3].any()
-    assert vectors[1][slots["b"]] / vectors[1][slots["a"]] == pytest.approx(2 * np.log(4 / 3) / np.log(2))
+    assert np.linalg.norm(vectors[1]) == pytest.approx(1) and not vectors[3].any() and not vectors[4].any()
+    assert vectors[1][slots["b"]] / vectors[1][slots["a"]] == pytest.approx(2 * np.log(5 / 3) / np.log(5 / 2))
 
 
 def test_model_embedder_loads_per_task(spark):
