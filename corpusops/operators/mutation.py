@@ -1,7 +1,7 @@
 """Labelled defects by syntax-tree edits: every site of every kind, in one pass per source.
 
 A defect is one attribute of one tree node set to another value. Each edit is applied in place,
-the tree is written out, and the attribute is put back, so a source is parsed once and never
+its statement is written out, and the attribute is put back, so a source is parsed once and never
 copied, however many sites it has. Python only enumerates; counting, choosing, sampling,
 labelling and ordering are relational.
 """
@@ -9,8 +9,10 @@ labelling and ordering are relational.
 from __future__ import annotations
 
 import ast
+import copy
 import hashlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -43,26 +45,28 @@ _UNPARSABLE = (SyntaxError, ValueError, RecursionError, MemoryError)
 
 
 def _preorder(root: ast.AST) -> Iterator[tuple]:
-    """(node, parent, field, position in a list field) depth first, fields in declared order."""
-    stack = [(root, None, "", None)]
+    """(node, its statement, parent, field, place in a list field) depth first, fields in declared order."""
+    stack = [(root, None, None, "", None)]
     while stack:
         here = stack.pop()
         yield here
-        slots = []
-        for field, value in ast.iter_fields(here[0]):
-            if isinstance(value, list):
-                slots += [(v, here[0], field, i) for i, v in enumerate(value) if isinstance(v, ast.AST)]
-            elif isinstance(value, ast.AST):
-                slots.append((value, here[0], field, None))
+        node, statement, slots = here[0], here[1], []
+        for field, value in ast.iter_fields(node):
+            children = enumerate(value) if isinstance(value, list) else [(None, value)]
+            slots += [
+                (child, child if isinstance(child, ast.stmt) else statement, node, field, place)
+                for place, child in children
+                if isinstance(child, ast.AST)
+            ]
         stack.extend(reversed(slots))
 
 
-def _in_place_of(parent: ast.AST, field: str, position: int | None, *nodes: ast.AST) -> tuple:
+def _in_place_of(parent: ast.AST, field: str, place: int | None, *nodes: ast.AST) -> tuple:
     """The edit that puts ``nodes`` where a child is now."""
-    if position is None:
+    if place is None:
         return parent, field, nodes[0]
     siblings = getattr(parent, field)
-    return parent, field, [*siblings[:position], *nodes, *siblings[position + 1 :]]
+    return parent, field, [*siblings[:place], *nodes, *siblings[place + 1 :]]
 
 
 def _edits(node: ast.AST, *slot) -> Iterator[tuple]:
@@ -89,26 +93,88 @@ def _edits(node: ast.AST, *slot) -> Iterator[tuple]:
 
 
 def _sites(tree: ast.AST) -> dict[str, list[tuple]]:
-    """Edits by kind; a site's number is its place in depth-first order."""
+    """(statement, edit) by kind; a site's number is its place in depth-first order."""
     sites = {kind: [] for kind in MUTATION_TYPES}
-    for node, *slot in _preorder(tree):
+    for node, statement, *slot in _preorder(tree):
         for kind, edit in _edits(node, *slot):
-            sites[kind].append(edit)
+            sites[kind].append((statement, edit))
     return sites
 
 
-def _written_with(tree: ast.AST, edit: tuple) -> str | None:
-    owner, attribute, value = edit
+@contextmanager
+def _applied(owner: ast.AST, attribute: str, value) -> Iterator[None]:
     before = getattr(owner, attribute)
     setattr(owner, attribute, value)
     try:
-        return ast.unparse(tree)
-    except _UNPARSABLE:
-        return None
+        yield
     finally:
         setattr(owner, attribute, before)
 
 
+def _written_with(tree: ast.AST, edit: tuple) -> str | None:
+    with _applied(*edit):
+        try:
+            return ast.unparse(tree)
+        except _UNPARSABLE:
+            return None
+
+
+def _header(statement: ast.stmt) -> str:
+    """First line of a compound statement."""
+    short = copy.copy(statement)
+    for field in ("orelse", "finalbody", "handlers"):
+        if hasattr(short, field):
+            setattr(short, field, [])
+    short.body = [ast.Pass()]
+    return ast.unparse(short).partition("\n")[0]
+
+
+def _changed_lines(lines: list[str], statement: ast.stmt, edit: tuple) -> tuple | None:
+    """(first, end, new lines) of an edit in text written from the tree, None where that is not certain.
+
+    Every statement has lines of its own there, and its text does not depend on its neighbours,
+    but for an ``elif``, a docstring, and blank lines at the top.
+    """
+    owner, attribute, value = edit
+    first = statement.lineno - 1
+    indent, old = lines[first][: statement.col_offset], lines[first][statement.col_offset :]
+    if attribute in ("body", "orelse", "finalbody") and isinstance(value, list):
+        at = getattr(owner, attribute).index(statement)
+        if attribute != "body" or not value:
+            return None
+        if len(value) == len(getattr(owner, attribute)):
+            return first, statement.end_lineno, [indent + ast.unparse(value[at])]
+        if at == 0 and (isinstance(owner, ast.Module) or isinstance(value[0], ast.Expr)):
+            return None
+        return first, statement.end_lineno, []
+    if isinstance(statement, ast.Match):
+        return None
+    if not hasattr(statement, "body"):
+        with _applied(*edit):
+            return first, statement.end_lineno, [indent + ast.unparse(statement)]
+    before = _header(statement)
+    with _applied(*edit):
+        after = _header(statement)
+    keyword = "el" if old == "el" + before else ""
+    # an edit the header does not show lies in a handler, a case or a decorator
+    return (first, first + 1, [indent + keyword + after]) if old == keyword + before != keyword + after else None
+
+
+def _mutated(tree: ast.AST, lines: list[str], statement: ast.stmt | None, edit: tuple) -> str | None:
+    """Text of the edited tree: its changed lines alone are written anew where possible.
+
+    A source of n lines has some n sites; writing all of it for each would take n * n steps.
+    """
+    try:
+        span = statement and _changed_lines(lines, statement, edit)
+    except _UNPARSABLE:
+        span = None
+    if not span:
+        return _written_with(tree, edit)
+    first, end, new = span
+    return "\n".join(lines[:first] + new + lines[end:])
+
+
 def _parses(code: str) -> bool:
     try:
         ast.parse(code)
@@ -130,10 +196,10 @@ def _labelled(source_id: int, raw: str) -> Iterator[tuple]:
     if base is None:
         return
     yield base, 0, source_id, CLEAN, -1, -1, True, True
-    tree, seen = ast.parse(base), set()
+    tree, lines, seen = ast.parse(base), base.split("\n"), set()
     for order, (kind, edits) in enumerate(_sites(tree).items()):
-        for site, edit in enumerate(edits):
-            code = _written_with(tree, edit)
+        for site, (statement, edit) in enumerate(edits):
+            code = _mutated(tree, lines, statement, edit)
             if code and code != base:
                 # only an emptied statement list can leave text that does not parse
                 parses = edit[2] != [] or _parses(code)

@@ -1,5 +1,11 @@
+import argparse
 import ast
+import inspect
+import json.decoder
+import statistics
+import textwrap
 
+import pytest
 from pyspark.sql import functions as F
 
 from corpusops.operators import mutation as M
@@ -105,6 +111,42 @@ def test_every_mutant_differs_and_the_flag_tells_what_parses(spark):
         assert r.parses == parses
 
 
+@pytest.mark.parametrize("code", [*BANK, *map(inspect.getsource, (argparse, textwrap, json.decoder, statistics))])
+def test_writing_changed_lines_equals_writing_the_whole_tree(code):
+    base = M._normal_form(code)
+    if base is None:
+        return
+    tree, lines = ast.parse(base), base.split("\n")
+    sites = [site for found in M._sites(tree).values() for site in found]
+    for statement, edit in sites[:: max(1, len(sites) // 150)]:
+        assert M._mutated(tree, lines, statement, edit) == M._written_with(tree, edit)
+    assert ast.unparse(tree) == base
+
+
+AWKWARD = [
+    "if a:\n    def f():\n        pass",
+    "if a > 1:\n    x = 1\ndef g():\n    return 2",
+    "def f(a):\n    if a:\n        pass\n    'text'\n    return 1",
+    "def f(a):\n    if a:\n        x = 1\n    else:\n        if a > 2:\n            raise KeyError\n        y = 2\n        if a > 3:\n            raise KeyError",
+    "try:\n    x = 1\nexcept E[1]:\n    if x:\n        raise\nfinally:\n    if x == 2:\n        pass",
+    "@deco(1)\ndef f(a=1, *, b=2):\n    while a < 1 and b > 2:\n        a += 1\n    else:\n        a = 3\n    with open(1) as x, open(2):\n        pass",
+    "for i in range(1):\n    if i:\n        continue\n    elif i > 1 or i < 2:\n        i = 4\n    elif i:\n        pass",
+    "async def f():\n    async for i in g(1):\n        async with h(2):\n            await k(3)",
+    "class A(b[1]):\n    x: int = 2\n    y = lambda z=3: z * 4\n    s = f\"\"\"a\n{x + 5}\"\"\"",
+    "match a:\n    case 1 if a > 2:\n        if a:\n            b = 1\n        c = 2",
+]
+
+
+@pytest.mark.parametrize("code", AWKWARD)
+def test_changed_lines_in_awkward_places(code):
+    base = M._normal_form(code)
+    tree, lines = ast.parse(base), base.split("\n")
+    sites = [site for found in M._sites(tree).values() for site in found]
+    assert sites
+    for statement, edit in sites:
+        assert M._mutated(tree, lines, statement, edit) == M._written_with(tree, edit)
+
+
 def test_equal_mutants_of_a_source_keep_the_first_kind(spark):
     # both kinds turn this into the same text
     code = "def f(a):\n    if a:\n        raise ValueError\n    return None"
