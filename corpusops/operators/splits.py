@@ -18,8 +18,10 @@ SEED = 42
 
 
 def group_key(group: str | Column, seed: int = SEED) -> Column:
-    column = F.col(group) if isinstance(group, str) else group
-    return F.md5(F.concat(F.lit(f"{seed}:"), column.cast("string")))
+    """Place of a group in the draw; a null group, which no join would find again, fails the job."""
+    column = (F.col(group) if isinstance(group, str) else group).cast("string")
+    known = F.coalesce(column, F.raise_error(F.lit("a group is null")).cast("string"))
+    return F.md5(F.concat(F.lit(f"{seed}:"), known))
 
 
 def group_holdout(rows: DataFrame, group: str, share: float = TEST_SHARE, seed: int = SEED) -> DataFrame:
@@ -189,6 +191,7 @@ def class_weights(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def with_class_weight(rows: DataFrame, weights: DataFrame) -> DataFrame:
-    """Two rows of weights per key, broadcast."""
+    """Two weights for the whole table are broadcast; with keys the planner goes by their size."""
     keys = [c for c in weights.columns if c not in ("label", "count", "weight")]
-    return rows.join(F.broadcast(weights.select(*keys, "label", "weight")), [*keys, "label"], "left")
+    wanted = weights.select(*keys, "label", "weight")
+    return rows.join(wanted if keys else F.broadcast(wanted), [*keys, "label"], "left")

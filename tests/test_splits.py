@@ -74,6 +74,13 @@ def test_holdout_takes_whole_groups(spark, groups):
     assert split.count() == sum(sizes.values())
 
 
+def test_a_null_group_is_an_error(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "grp string, row_id int")
+    for split in (lambda: S.group_holdout(df, "grp").collect(), lambda: S.group_kfold(df, "grp", 2).collect()):
+        with pytest.raises(Exception, match="group is null"):
+            split()
+
+
 def test_leaks_are_listed(spark):
     rows = [("a", "X y", "train"), ("a", "p", "test"), ("b", "x   Y", "test"), ("c", "q", "train"), ("d", "q", "train")]
     df = spark.createDataFrame(rows, "grp string, text string, split string")
