@@ -6,12 +6,15 @@ until the prefix is not a frequent one, so that groups stay small. A task sorts
 which lays its subtree out in depth-first order; runs of suffixes that agree to full depth are the
 deep internal nodes. In each node the smallest document keeps its words.
 
-Before that, positions whose window has no repeated anchor are left out (``repeats``), and of the
-suffixes that a task holds twice only the smallest document's travels: the other has lost already.
+Before that, blocks that a smaller document has word for word are settled as a whole, positions whose
+window has no repeated anchor are left out (``repeats``), and of the suffixes that a task holds twice
+only the smallest document's travels: the other has lost already.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +22,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusops.llm.repeats import anchors_of, bucket_count, gathered, keyed, mark, member, repeated_anchors, without_words
+from corpusops.llm.repeats import (
+    WINNERS_SCHEMA,
+    Winners,
+    anchors_of,
+    bucket_count,
+    flags,
+    gathered,
+    keyed,
+    losers,
+    mark,
+    member,
+    repeated_anchors,
+    without_words,
+)
 from corpusops.llm.words import slices
 
 MIN_WORDS = 13
@@ -29,7 +45,9 @@ PREFIX_WORDS = (2, 4, 8)
 HEAVY_SHARE = 4000
 # documents that tell frequent prefixes; they only decide how suffixes are dealt, never what is found
 SAMPLE_DOCS = 2000
-GATHER_SUFFIXES = 1 << 18
+GATHER_ENTRIES = 1 << 16
+BLOCK_WORDS = 32
+LONGEST_BLOCK = 1 << 15
 
 
 def frequent_prefixes(rows: DataFrame, n_docs: int, lengths: tuple[int, ...]) -> dict[int, np.ndarray]:
@@ -52,40 +70,59 @@ def frequent_prefixes(rows: DataFrame, n_docs: int, lengths: tuple[int, ...]) ->
     return {size: np.array([r.h for r in found if r["size"] == size], np.int64).view(np.uint64) for size in lengths}
 
 
-def repeat_marks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def block_marks(rows: DataFrame, window: int, buckets: int) -> DataFrame:
+    """(id, mark): blocks of words that a smaller document has word for word.
+
+    A block starts where the hash of three words is a multiple of ``BLOCK_WORDS``, so equal passages
+    fall into equal blocks, and reaches ``window`` - 1 words into the next, so each window lies in
+    the block it starts in. What copied documents share is settled here, block by block.
+    """
+    spread = 1 << max(1, (buckets - 1).bit_length())
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        winners = Winners(spread)
+        for batch, texts in slices(batches, "text"):
+            at = texts.windows(window)
+            if not len(at):
+                continue
+            doc = texts.doc[at]
+            cut = texts.window_hash(3, at) % np.uint64(BLOCK_WORDS) == 0
+            cut |= np.append(True, doc[1:] != doc[:-1])
+            # marks hold lengths of 16 bits
+            cut |= (at - texts.first_word[doc]) % LONGEST_BLOCK == 0
+            head = np.flatnonzero(cut)
+            size = np.diff(np.append(head, len(at))) + window - 1
+            first, doc = at[head], doc[head]
+            own = batch.column("id").to_numpy(zero_copy_only=False)[doc]
+            marks = mark(batch.column("tag").to_numpy(zero_copy_only=False)[doc], first - texts.first_word[doc], size)
+            joined, where, until = texts.joined()
+            for a, b, i, m in zip(where[first].tolist(), until[first + size - 1].tolist(), own.tolist(), marks.tolist()):
+                digest = hashlib.blake2b(joined[a:b], digest_size=15).digest()
+                winners.add(base64.b64encode(digest), i, int.from_bytes(digest[:4]) % spread, m)
+                if len(winners) >= GATHER_ENTRIES:
+                    yield winners.packed()
+        if len(winners):
+            yield winners.packed()
+
+    dealt = rows.select("id", "tag", "text").mapInArrow(blocks, WINNERS_SCHEMA).repartition(buckets, "bucket")
+    return dealt.mapInArrow(losers, "id long, mark long")
+
+
+def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, marks): windows of ``min_words`` words that also start in a document with a smaller id."""
-    rows = keyed(docs, doc_id, text)
-    buckets, n_docs = bucket_count(docs.sparkSession, rows)
+    buckets, n_docs = bucket_count(rows.sparkSession, rows)
     k = min(ANCHOR_WORDS, min_words)
     lengths = tuple(x for x in PREFIX_WORDS if x < min_words)
     heavy = frequent_prefixes(rows, n_docs, lengths)
     spread = 1 << max(1, (buckets - 1).bit_length())
     shift = np.uint64(64 - (spread - 1).bit_length())
 
-    def packed(best: dict, lost: list) -> Iterator[pa.RecordBatch]:
-        parts: dict[int, tuple] = {}
-        for suffix, (i, bucket, *marks) in best.items():
-            texts, ids, found, _, _ = parts.setdefault(bucket, ([], [], [], [], []))
-            for m in marks:
-                texts.append(suffix)
-                ids.append(i)
-                found.append(m)
-        for i, m in lost:
-            _, _, _, ids, found = parts.setdefault(i % spread, ([], [], [], [], []))
-            ids.append(i)
-            found.append(m)
-        rows = [(b, b"\n".join(t), *(np.array(x, np.int64).tobytes() for x in rest)) for b, (t, *rest) in parts.items()]
-        columns = list(zip(*rows))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-            ["bucket", "suffixes", "ids", "found", "lost_ids", "lost"],
-        )
-
     def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[bytes, list] = {}
-        lost: list[tuple[int, int]] = []
+        winners = Winners(spread)
         for batch, texts in slices(batches, "text"):
             windows, _, h = anchors_of(texts, min_words, k)
+            settled = flags(texts.first_word, batch.column("marks"), batch.column("tag").to_pylist(), False, min_words)
+            windows, h = windows[~settled[windows]], h[~settled[windows]]
             at = windows[member(h, batch.column("anchors").to_pylist(), texts.doc[windows])]
             if not len(at):
                 continue
@@ -100,52 +137,18 @@ def repeat_marks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mi
             for a, b, i, bucket, m in zip(
                 where[at].tolist(), until[at + min_words - 1].tolist(), own.tolist(), (key >> shift).tolist(), marks.tolist()
             ):
-                suffix = joined[a:b]
-                held = best.get(suffix)
-                if held is None:
-                    best[suffix] = [i, bucket, m]
-                elif held[0] == i:
-                    held.append(m)
-                elif held[0] < i:
-                    lost.append((i, m))
-                else:
-                    lost.extend((held[0], x) for x in held[2:])
-                    best[suffix] = [i, bucket, m]
-            if len(best) + len(lost) >= GATHER_SUFFIXES:
-                yield from packed(best, lost)
-                best, lost = {}, []
-        if best:
-            yield from packed(best, lost)
-
-    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list] = {}
-        for batch in batches:
-            for bucket, suffix, ids, found, lost_ids, lost in zip(*(c.to_pylist() for c in batch.columns)):
-                if lost:
-                    columns = [pa.array(np.frombuffer(x, np.int64)) for x in (lost_ids, lost)]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "mark"])
-                if ids:
-                    held.setdefault(bucket, []).append((suffix, ids, found))
-        for bucket in list(held):
-            parts = held.pop(bucket)
-            texts = np.array([s for p in parts for s in p[0].split(b"\n")], object)
-            ids = np.concatenate([np.frombuffer(p[1], np.int64) for p in parts])
-            found = np.concatenate([np.frombuffer(p[2], np.int64) for p in parts])
-            order = np.array(sorted(range(len(texts)), key=texts.__getitem__))
-            texts, ids, found = texts[order], ids[order], found[order]
-            # a node of full depth: a run of equal suffixes; its smallest document keeps the words
-            head = np.flatnonzero(np.append(True, texts[1:] != texts[:-1]))
-            least = np.repeat(np.minimum.reduceat(ids, head), np.diff(np.append(head, len(ids))))
-            out = ids > least
-            if out.any():
-                yield pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(found[out])], ["id", "mark"])
-
-    anchors = repeated_anchors(rows, min_words, k, buckets)
-    chosen = rows.join(anchors, "id").select("id", "tag", "text", "anchors")
-    dealt = chosen.mapInArrow(
-        suffixes, "bucket long, suffixes binary, ids binary, found binary, lost_ids binary, lost binary"
-    ).repartition(buckets, "bucket")
-    return gathered(dealt.mapInArrow(trees, "id long, mark long"))
+                winners.add(joined[a:b], i, bucket, m)
+                if len(winners) >= GATHER_ENTRIES:
+                    yield winners.packed()
+        if len(winners):
+            yield winners.packed()
+
+    settled = block_marks(rows, min_words, buckets)
+    once = rows.join(gathered(settled), "id", "left")
+    anchors = repeated_anchors(once.select("id", "tag", "text", "marks"), min_words, k, buckets)
+    chosen = once.join(anchors, "id").select("id", "tag", "text", "marks", "anchors")
+    dealt = chosen.mapInArrow(suffixes, WINNERS_SCHEMA).repartition(buckets, "bucket")
+    return gathered(settled.union(dealt.mapInArrow(losers, "id long, mark long")))
 
 
 def drop_repeats(
@@ -159,4 +162,5 @@ def drop_repeats(
     and rows with null ids are one document. Repeated rows each get the same result. An empty table
     gives no rows. Other columns ride along in ``rest``, whatever their names.
     """
-    return without_words(docs, doc_id, text, repeat_marks(docs, doc_id, text, min_words), keep_text)
+    rows = keyed(docs, doc_id, text)
+    return without_words(rows, repeat_marks(rows, min_words), keep_text)

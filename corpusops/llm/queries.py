@@ -14,7 +14,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op3_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 13-word window shares with an earlier document are removed."""
-    cut = prefix_trees.drop_repeats(_table(spark, sf_dir, "documents"), keep_text=False)
+    cut = prefix_trees.drop_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 

@@ -20,20 +20,24 @@ from corpusops.llm.words import Texts, minimisers, slices
 
 LAST_ID = (1 << 63) - 1
 # anchors that a map task gathers before it hands them over, and text behind one bucket of anchors
-GATHER = 1 << 20
+GATHER = 1 << 18
 BUCKET_BYTES = 32 << 20
 
 
 def keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(id, tag, text): null ids count as larger than all others, null texts as empty.
+    """(id, tag, text, rest): null ids count as larger than all others, null texts as empty.
 
-    ``tag`` tells texts apart that share an id, so that what goes from one stays in the other.
+    ``tag`` tells texts apart that share an id, so that what goes from one stays in the other;
+    ``rest`` holds the other columns. All joins start from this one frame, so its shuffle by id is
+    written once and read again.
     """
     value = F.coalesce(F.col(text), F.lit(""))
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("none")]
     return docs.select(
         F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"),
         F.shiftrightunsigned(F.xxhash64(value), 49).alias("tag"),
         value.alias("text"),
+        F.struct(*rest).alias("rest"),
     )
 
 
@@ -63,9 +67,103 @@ def anchors_of(texts: Texts, window: int, k: int) -> tuple[np.ndarray, np.ndarra
     return texts.windows(window), at[chosen], hashes[chosen]
 
 
+class Winners:
+    """Equal keys meet: the smallest id goes on, the others have lost.
+
+    A map task holds one of these, so of a key that many of its documents share one entry travels
+    to the key's bucket. Losers travel too, dealt by document, for they need no further comparison.
+    """
+
+    def __init__(self, spread: int):
+        self.spread = spread
+        self.best: dict[bytes, list] = {}
+        self.lost: list[tuple[int, int]] = []
+
+    def __len__(self) -> int:
+        return len(self.best) + len(self.lost)
+
+    def add(self, key: bytes, i: int, bucket: int, m: int) -> None:
+        held = self.best.get(key)
+        if held is None:
+            self.best[key] = [i, bucket, m]
+        elif held[0] == i:
+            held.append(m)
+        elif held[0] < i:
+            self.lost.append((i, m))
+        else:
+            self.lost.extend((held[0], x) for x in held[2:])
+            self.best[key] = [i, bucket, m]
+
+    def packed(self) -> pa.RecordBatch:
+        """One row per bucket; keys hold no line breaks."""
+        parts: dict[int, tuple] = {}
+        for key, (i, bucket, *marks) in self.best.items():
+            keys, ids, found, _, _ = parts.setdefault(bucket, ([], [], [], [], []))
+            for m in marks:
+                keys.append(key)
+                ids.append(i)
+                found.append(m)
+        for i, m in self.lost:
+            _, _, _, ids, found = parts.setdefault(i % self.spread, ([], [], [], [], []))
+            ids.append(i)
+            found.append(m)
+        rows = [(b, b"\n".join(t), *(np.array(x, np.int64).tobytes() for x in rest)) for b, (t, *rest) in parts.items()]
+        columns = list(zip(*rows))
+        self.best, self.lost = {}, []
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])],
+            ["bucket", "keys", "ids", "found", "lost_ids", "lost"],
+        )
+
+
+WINNERS_SCHEMA = "bucket long, keys binary, ids binary, found binary, lost_ids binary, lost binary"
+
+
+def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, mark) of all entries of ``Winners`` rows but each key's smallest id."""
+    held: dict[int, list] = {}
+    for batch in batches:
+        for bucket, keys, ids, found, lost_ids, lost in zip(*(c.to_pylist() for c in batch.columns)):
+            if lost:
+                columns = [pa.array(np.frombuffer(x, np.int64)) for x in (lost_ids, lost)]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "mark"])
+            if ids:
+                held.setdefault(bucket, []).append((keys, ids, found))
+    for bucket in list(held):
+        parts = held.pop(bucket)
+        keys = np.array([s for p in parts for s in p[0].split(b"\n")], object)
+        ids = np.concatenate([np.frombuffer(p[1], np.int64) for p in parts])
+        found = np.concatenate([np.frombuffer(p[2], np.int64) for p in parts])
+        # depth-first order of the bucket's subtrees; a run of equal keys is a node of full depth
+        order = np.array(sorted(range(len(keys)), key=keys.__getitem__))
+        keys, ids, found = keys[order], ids[order], found[order]
+        head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        least = np.repeat(np.minimum.reduceat(ids, head), np.diff(np.append(head, len(ids))))
+        out = ids > least
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(found[out])], ["id", "mark"])
+
+
+def flags(counts: np.ndarray, listed: pa.Array, tags: list[int], span: bool, window: int = 0) -> np.ndarray:
+    """Which words the marks of each document name: whole ranges, or only the starts of windows in them."""
+    first_word, total = counts, int(counts[-1])
+    hit = np.zeros(total + 1, np.int64)
+    for j, marks in enumerate(listed):
+        if marks.is_valid:
+            found = marks.values.to_numpy()
+            found = found[found >> 48 == tags[j]]
+            first = first_word[j] + (found & 0xFFFFFFFF)
+            size = found >> 32 & 0xFFFF
+            np.add.at(hit, first, 1)
+            np.add.at(hit, first + size - (0 if span else window - 1), -1)
+    return np.cumsum(hit)[:total] > 0
+
+
 def repeated_anchors(rows: DataFrame, window: int, k: int, buckets: int) -> DataFrame:
     """(id, anchors): the anchors of each document that occur in another one too.
 
+    ``rows`` may have a column ``marks``: windows that start in these ranges take no part.
+
     Map tasks hand over one packed row per bucket, sorted by hash. Of an anchor that a task has met
     in several documents one entry goes to the anchor's bucket; the others are known to repeat and
     are dealt by document, so a passage in a third of all documents fills no bucket.
@@ -98,7 +196,10 @@ def repeated_anchors(rows: DataFrame, window: int, k: int, buckets: int) -> Data
     def select(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, ids, held = [], [], 0
         for batch, texts in slices(batches, "text"):
-            _, anchor, h = anchors_of(texts, window, k)
+            starts, anchor, h = anchors_of(texts, window, k)
+            if "marks" in batch.schema.names:
+                settled = flags(texts.first_word, batch.column("marks"), batch.column("tag").to_pylist(), False, window)
+                anchor, h = anchor[~settled[starts]], h[~settled[starts]]
             if not len(h):
                 continue
             own = batch.column("id").to_numpy(zero_copy_only=False)
@@ -155,22 +256,14 @@ def member(values: np.ndarray, lists: list, doc: np.ndarray) -> np.ndarray:
     return np.isin(values.view(np.uint64) + salt * doc.astype(np.uint64), known + salt * owner)
 
 
-def without_words(docs: DataFrame, doc_id: str, text: str, marks: DataFrame, keep_text: bool = True) -> DataFrame:
-    """(row, out): each row of ``docs`` as a struct, and what is left of its text.
+def without_words(rows: DataFrame, marks: DataFrame, keep_text: bool = True) -> DataFrame:
+    """(rest, out): each row's other columns as a struct, and what is left of its text.
 
     ``marks`` is (id, marks), one row per id: the word ranges that go. ``out.text`` is the text
     without the marked words and the white space behind each; ``out.kept_sha256`` is of the kept
     words joined by one space.
     """
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text] or [F.lit(0).alias("none")])
-    value = F.coalesce(F.col(text), F.lit(""))
-    left = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID)).alias("id"),
-        F.shiftrightunsigned(F.xxhash64(value), 49).alias("tag"),
-        value.alias("text"),
-        rest.alias("rest"),
-    )
-    joined = left.join(marks, "id", "left").select("tag", "text", "rest", "marks")
+    joined = rows.join(marks, "id", "left").select("tag", "text", "rest", "marks")
     made = [StructField("n_words", LongType()), StructField("n_removed", LongType()), StructField("kept_sha256", StringType())]
     made += [StructField("text", StringType())] if keep_text else []
     schema = StructType([joined.schema["rest"], StructField("out", StructType(made))])
@@ -179,17 +272,7 @@ def without_words(docs: DataFrame, doc_id: str, text: str, marks: DataFrame, kee
         for batch, texts in slices(batches, "text"):
             n = batch.num_rows
             base = texts.first_word
-            total = len(texts.starts)
-            gone = np.zeros(total + 1, np.int64)
-            tags = batch.column("tag").to_pylist()
-            for j, listed in enumerate(batch.column("marks")):
-                if listed.is_valid:
-                    found = listed.values.to_numpy()
-                    found = found[found >> 48 == tags[j]]
-                    first = base[j] + (found & 0xFFFFFFFF)
-                    np.add.at(gone, first, 1)
-                    np.add.at(gone, first + (found >> 32 & 0xFFFF), -1)
-            gone = np.cumsum(gone)[:total] > 0
+            gone = flags(base, batch.column("marks"), batch.column("tag").to_pylist(), span=True)
             kept, where, until = texts.joined(~gone)
             counts = np.concatenate([[0], np.cumsum(~gone)])[base]
             view = memoryview(kept)

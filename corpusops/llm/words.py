@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # text per slice: bounds the arrays that are alive at once; a longer document is a slice of its own
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 WORD_BASE = 0xD1B54A32D192ED03 | 1
 
@@ -39,7 +39,7 @@ def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
 def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64, and those of its inverse."""
     held = 1 << max(12, (size - 1).bit_length())
-    if held > 4 * SLICE_BYTES:
+    if held > 8 * SLICE_BYTES:
         forward, back = _powers.__wrapped__(base, size)
     else:
         forward, back = _powers(base, held)
