@@ -143,10 +143,11 @@ def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         if len(winners):
             yield winners.packed()
 
+    # all columns go into each pass, so that the joins share one shuffle of the texts
     settled = block_marks(rows, min_words, buckets)
     once = rows.join(gathered(settled), "id", "left")
-    anchors = repeated_anchors(once.select("id", "tag", "text", "marks"), min_words, k, buckets)
-    chosen = once.join(anchors, "id").select("id", "tag", "text", "marks", "anchors")
+    anchors = repeated_anchors(once.select("id", "tag", "text", "rest", "marks"), min_words, k, buckets)
+    chosen = once.join(anchors, "id").select("id", "tag", "text", "rest", "marks", "anchors")
     dealt = chosen.mapInArrow(suffixes, WINNERS_SCHEMA).repartition(buckets, "bucket")
     return gathered(settled.union(dealt.mapInArrow(losers, "id long, mark long")))
 
