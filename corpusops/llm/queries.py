@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import prefix_trees
+from corpusops.llm import prefix_trees, sparse_suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,12 @@ def op3_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 
+def op8_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words that an earlier document has too are removed."""
+    cut = sparse_suffix.drop_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
+    return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
+
+
 def repeats_sql(min_words: int) -> str:
     """Rows of the removal of repeated windows: number of words, number removed, digest of the rest."""
     return rf"""
@@ -41,4 +47,5 @@ FROM docs LEFT JOIN kept USING (doc_id)"""
 
 QUERIES = {
     "op3_prefix_suffix_trees": (op3_prefix_suffix_trees, repeats_sql(prefix_trees.MIN_WORDS)),
+    "op8_sparse_suffix_arrays": (op8_sparse_suffix_arrays, repeats_sql(sparse_suffix.MIN_WORDS)),
 }
