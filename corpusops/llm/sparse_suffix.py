@@ -103,6 +103,12 @@ def passages_lost(entries: list[tuple[list, list, int, int, int]], size: int) ->
             run.append(reach)
 
 
+def _suffix(key: bytes) -> bytes:
+    """The words of an entry from its anchor on."""
+    context, high, _ = key.split(b"\t")
+    return context.split(b" ", int(high))[-1]
+
+
 def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, marks): passages of ``min_words`` words that also start in a document with a smaller id."""
     buckets, n_docs = bucket_count(rows.sparkSession, rows)
@@ -160,25 +166,29 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 if ids:
                     held.setdefault(bucket, []).append((keys, ids, found))
         for bucket in list(held):
+            best: dict[bytes, list] = {}
             out: list[tuple[int, int]] = []
-            groups: dict[tuple, dict] = {}
             for keys, ids, found in held.pop(bucket):
                 for key, i, m in zip(keys.split(b"\n"), np.frombuffer(ids, np.int64).tolist(), np.frombuffer(found, np.int64).tolist()):
-                    context, high, low = key.split(b"\t")
-                    words = context.split(b" ")
-                    high = int(high)
-                    groups.setdefault(tuple(words[high : high + k]), {}).setdefault(key, []).append((i, m))
-            for group in groups.values():
-                entries = []
-                for key, held_by in group.items():
                     # the same words all round: only the smallest document need be compared further
-                    best = min(i for i, _ in held_by)
-                    out.extend((i, m) for i, m in held_by if i > best)
-                    context, high, low = key.split(b"\t")
-                    words = context.split(b" ")
-                    entries.extend((words[: int(high)], words[int(high) :], int(low), i, m) for i, m in held_by if i == best)
-                if len(entries) > 1:
-                    out.extend(passages_lost(entries, min_words))
+                    kept = best.setdefault(key, [i])
+                    if i < kept[0]:
+                        out.extend((kept[0], x) for x in kept[1:])
+                        kept[:] = [i]
+                    kept.append(m) if i == kept[0] else out.append((i, m))
+            # the bucket's sparse suffix array: places in the text, in the order of what follows them
+            suffixes = sorted((_suffix(key), key) for key in best)
+            group: list[tuple] = []
+            for number, (suffix, key) in enumerate(suffixes):
+                words = suffix.split(b" ")
+                context, high, low = key.split(b"\t")
+                i, *marks = best[key]
+                group.extend((context.split(b" ", int(high))[: int(high)], words, int(low), i, m) for m in marks)
+                following = suffixes[number + 1][0].split(b" ", k)[:k] if number + 1 < len(suffixes) else None
+                if following != words[:k]:
+                    if len(group) > 1:
+                        out.extend(passages_lost(group, min_words))
+                    group = []
             if out:
                 ids, marks = zip(*out)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64())], ["id", "mark"])
