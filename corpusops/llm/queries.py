@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import prefix_trees, sparse_suffix
+from corpusops.llm import line_dedup, prefix_trees, simhash_trie, sparse_suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,12 +18,41 @@ def op3_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines found in ten documents or more are dropped."""
+    kept = line_dedup.drop_frequent_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+LINES_SQL = f"""
+WITH docs AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM docs),
+keyed AS (
+  SELECT doc_id, line, pos, translate(
+    trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{line_dedup.UPPER}', '{line_dedup.LOWER}') AS key
+  FROM lines
+),
+frequent AS (
+  SELECT key FROM keyed WHERE length(key) >= {line_dedup.MIN_CHARS}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCS}
+)
+SELECT doc_id, count(*) AS n_lines, count(frequent.key) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE frequent.key IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN frequent USING (key) GROUP BY doc_id"""
+
+
 def op8_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words that an earlier document has too are removed."""
     cut = sparse_suffix.drop_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 
+def op10_simhash_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of SimHash fingerprints linked at two or fewer differing bits."""
+    found = simhash_trie.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def repeats_sql(min_words: int) -> str:
     """Rows of the removal of repeated windows: number of words, number removed, digest of the rest."""
     return rf"""
@@ -47,5 +76,8 @@ FROM docs LEFT JOIN kept USING (doc_id)"""
 
 QUERIES = {
     "op3_prefix_suffix_trees": (op3_prefix_suffix_trees, repeats_sql(prefix_trees.MIN_WORDS)),
+    "op7_line_dedup": (op7_line_dedup, LINES_SQL),
     "op8_sparse_suffix_arrays": (op8_sparse_suffix_arrays, repeats_sql(sparse_suffix.MIN_WORDS)),
+    # XXH64 is not an SQL function
+    "op10_simhash_trie_join": (op10_simhash_trie_join, None),
 }
