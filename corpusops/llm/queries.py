@@ -2,16 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import line_dedup, prefix_trees, simhash_trie, sparse_suffix
+from corpusops.llm import best_fit, line_dedup, prefix_trees, simhash_trie, sparse_suffix
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """The packing of documents with the public 50k vocabulary."""
+    files = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
+    return best_fit.packed_documents(docs, *files, public_tokenizers.PATTERN)
+
+
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token sequences of at most 1024 ids."""
+    return packed(_table(spark, sf_dir, "documents"))
+
+
 def op3_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 13-word window shares with an earlier document are removed."""
     cut = prefix_trees.drop_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
@@ -75,6 +87,8 @@ FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
 QUERIES = {
+    # tokenizers and packing are not SQL
+    "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op3_prefix_suffix_trees": (op3_prefix_suffix_trees, repeats_sql(prefix_trees.MIN_WORDS)),
     "op7_line_dedup": (op7_line_dedup, LINES_SQL),
     "op8_sparse_suffix_arrays": (op8_sparse_suffix_arrays, repeats_sql(sparse_suffix.MIN_WORDS)),
