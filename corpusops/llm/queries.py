@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import best_fit, line_dedup, prefix_trees, simhash_trie, sparse_suffix
+from corpusops.llm import best_fit, line_dedup, prefix_trees, simhash_trie, sparse_suffix, weak_labels
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ def op3_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 
+def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chance of each document to be clean, and whether it is kept."""
+    found = weak_labels.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("rest.doc_id").alias("doc_id"), F.col("clean").alias("score"), (F.col("clean") >= 0.5).alias("keep"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more are dropped."""
     kept = line_dedup.drop_frequent_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -90,6 +96,8 @@ QUERIES = {
     # tokenizers and packing are not SQL
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op3_prefix_suffix_trees": (op3_prefix_suffix_trees, repeats_sql(prefix_trees.MIN_WORDS)),
+    # a fitted model; held against the given labels in the tests
+    "op6_weak_label_quality": (op6_weak_label_quality, None),
     "op7_line_dedup": (op7_line_dedup, LINES_SQL),
     "op8_sparse_suffix_arrays": (op8_sparse_suffix_arrays, repeats_sql(sparse_suffix.MIN_WORDS)),
     # XXH64 is not an SQL function
