@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.llm.repeats import (
+    MARKS_SCHEMA,
     WINNERS_SCHEMA,
     Winners,
     anchors_of,
@@ -105,7 +107,7 @@ def block_marks(rows: DataFrame, window: int, buckets: int) -> DataFrame:
             yield winners.packed()
 
     dealt = rows.select("id", "tag", "text").mapInArrow(blocks, WINNERS_SCHEMA).repartition(buckets, "bucket")
-    return dealt.mapInArrow(losers, "id long, mark long")
+    return dealt.mapInArrow(partial(losers, spread=spread), MARKS_SCHEMA)
 
 
 def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -145,11 +147,11 @@ def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     # all columns go into each pass, so that the joins share one shuffle of the texts
     settled = block_marks(rows, min_words, buckets)
-    once = rows.join(gathered(settled), "id", "left")
+    once = rows.join(gathered(settled, buckets), "id", "left")
     anchors = repeated_anchors(once.select("id", "tag", "text", "rest", "marks"), min_words, k, buckets)
     chosen = once.join(anchors, "id").select("id", "tag", "text", "rest", "marks", "anchors")
     dealt = chosen.mapInArrow(suffixes, WINNERS_SCHEMA).repartition(buckets, "bucket")
-    return gathered(settled.union(dealt.mapInArrow(losers, "id long, mark long")))
+    return gathered(settled.union(dealt.mapInArrow(partial(losers, spread=spread), MARKS_SCHEMA)), buckets)
 
 
 def drop_repeats(

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from corpusops.llm.words import Texts, minimisers, slices
+from corpusops.llm.words import Texts, minimisers, mix, slices
 
 LAST_ID = (1 << 63) - 1
 # anchors that a map task gathers before it hands them over, and text behind one bucket of anchors
@@ -47,9 +47,56 @@ def mark(tag, start, length):
     return (tag << 48) | (length << 32) | start
 
 
-def gathered(marks: DataFrame) -> DataFrame:
-    """(id, mark) rows to one row per id."""
-    return marks.groupBy("id").agg(F.collect_list("mark").alias("marks"))
+MARKS_SCHEMA = "bucket long, ids binary, found binary"
+
+
+class Marks:
+    """(id, mark) pairs that a task has found, handed over packed: one row per bucket of ids, whatever their number."""
+
+    def __init__(self, spread: int):
+        self.spread, self.ids, self.found, self.held = spread, [], [], 0
+
+    def add(self, ids, found) -> Iterator[pa.RecordBatch]:
+        self.ids.append(np.asarray(ids, np.int64))
+        self.found.append(np.asarray(found, np.int64))
+        self.held += len(ids)
+        if self.held >= GATHER:
+            yield from self.packed()
+
+    def packed(self) -> Iterator[pa.RecordBatch]:
+        if not self.held:
+            return
+        ids, found = np.concatenate(self.ids), np.concatenate(self.found)
+        self.ids, self.found, self.held = [], [], 0
+        bucket = (mix(ids.view(np.uint64)) % np.uint64(self.spread)).astype(np.int64)
+        order = np.lexsort((ids, bucket))
+        ids, found, bucket = ids[order], found[order], bucket[order]
+        cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(ids))
+        press = zstandard.ZstdCompressor(level=1).compress
+        rows = [(int(bucket[a]), press(ids[a:b].tobytes()), press(found[a:b].tobytes())) for a, b in zip(cuts[:-1], cuts[1:])]
+        columns = list(zip(*rows))
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.binary()) for c in columns[1:])], ["bucket", "ids", "found"])
+
+
+def gathered(marks: DataFrame, buckets: int) -> DataFrame:
+    """``Marks`` rows to (id, marks), one row per id."""
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpress = zstandard.ZstdDecompressor().decompress
+        held: dict[int, list] = {}
+        for batch in batches:
+            for bucket, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
+                held.setdefault(bucket, []).append([np.frombuffer(unpress(b), np.int64) for b in blobs])
+        for bucket in list(held):
+            parts = held.pop(bucket)
+            ids, found = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+            order = np.argsort(ids, kind="stable")
+            ids, found = ids[order], found[order]
+            cuts = np.append(np.flatnonzero(np.append(True, ids[1:] != ids[:-1])), len(ids))
+            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[cuts[:-1]]), lists], ["id", "marks"])
+
+    return marks.repartition(buckets, "bucket").mapInArrow(unpack, "id long, marks array<long>")
 
 
 def bucket_count(spark, rows: DataFrame) -> tuple[int, int]:
@@ -122,16 +169,16 @@ class Winners:
 WINNERS_SCHEMA = "bucket long, keys binary, ids binary, found binary, lost_ids binary, lost binary"
 
 
-def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, mark) of all entries of ``Winners`` rows but each key's smallest id."""
+def losers(batches: Iterator[pa.RecordBatch], spread: int) -> Iterator[pa.RecordBatch]:
+    """``Marks`` of all entries of ``Winners`` rows but each key's smallest id."""
     held: dict[int, list] = {}
+    marks = Marks(spread)
     unpress = zstandard.ZstdDecompressor().decompress
     for batch in batches:
         for bucket, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
             keys, ids, found, lost_ids, lost = map(unpress, blobs)
             if lost:
-                columns = [pa.array(np.frombuffer(x, np.int64)) for x in (lost_ids, lost)]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "mark"])
+                yield from marks.add(np.frombuffer(lost_ids, np.int64), np.frombuffer(lost, np.int64))
             if ids:
                 held.setdefault(bucket, []).append((keys, ids, found))
     for bucket in list(held):
@@ -145,8 +192,8 @@ def losers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         least = np.repeat(np.minimum.reduceat(ids, head), np.diff(np.append(head, len(ids))))
         out = ids > least
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(ids[out]), pa.array(found[out])], ["id", "mark"])
+        yield from marks.add(ids[out], found[out])
+    yield from marks.packed()
 
 
 def flags(counts: np.ndarray, listed: pa.Array, tags: list[int], span: bool, window: int = 0) -> np.ndarray:

@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.llm.repeats import (
+    MARKS_SCHEMA,
+    Marks,
     WINNERS_SCHEMA,
     Winners,
     anchors_of,
@@ -157,12 +159,12 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor().decompress
         held: dict[int, list] = {}
+        marks = Marks(spread)
         for batch in batches:
             for bucket, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, ids, found, lost_ids, lost = map(unpress, blobs)
                 if lost:
-                    columns = [pa.array(np.frombuffer(x, np.int64)) for x in (lost_ids, lost)]
-                    yield pa.RecordBatch.from_arrays(columns, ["id", "mark"])
+                    yield from marks.add(np.frombuffer(lost_ids, np.int64), np.frombuffer(lost, np.int64))
                 if ids:
                     held.setdefault(bucket, []).append((keys, ids, found))
         for bucket in list(held):
@@ -182,22 +184,22 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             for number, (suffix, key) in enumerate(suffixes):
                 words = suffix.split(b" ")
                 context, high, low = key.split(b"\t")
-                i, *marks = best[key]
-                group.extend((context.split(b" ", int(high))[: int(high)], words, int(low), i, m) for m in marks)
+                i, *found = best[key]
+                group.extend((context.split(b" ", int(high))[: int(high)], words, int(low), i, m) for m in found)
                 following = suffixes[number + 1][0].split(b" ", k)[:k] if number + 1 < len(suffixes) else None
                 if following != words[:k]:
                     if len(group) > 1:
                         out.extend(passages_lost(group, min_words))
                     group = []
             if out:
-                ids, marks = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64())], ["id", "mark"])
+                yield from marks.add(*zip(*out))
+        yield from marks.packed()
 
     # all columns go into each pass, so that the joins share one shuffle of the texts
     anchors = repeated_anchors(rows, min_words, k, buckets)
     chosen = rows.join(anchors, "id").select("id", "tag", "text", "rest", "anchors")
     dealt = chosen.mapInArrow(select, WINNERS_SCHEMA).repartition(buckets, "bucket")
-    return gathered(dealt.mapInArrow(compare, "id long, mark long"))
+    return gathered(dealt.mapInArrow(compare, MARKS_SCHEMA), buckets)
 
 
 def drop_passages(
