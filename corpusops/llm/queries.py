@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import best_fit, line_dedup, prefix_trees, simhash_trie, sparse_suffix, weak_labels
+from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, prefix_trees, simhash_trie, sparse_suffix, weak_labels
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,12 +24,42 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(_table(spark, sf_dir, "documents"))
 
 
+def op2_byte_conv_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four of five folds."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return byte_conv.predict(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op3_prefix_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that a 13-word window shares with an earlier document are removed."""
     cut = prefix_trees.drop_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep_text=False)
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 
+def op4_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors found for every 50th id."""
+    return hilbert_search.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op5_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products for every 50th id."""
+    return bit_sliced.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+TOP_K_SQL = """
+WITH fit AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+  SELECT q.vec_id AS query_id, r.vec_id AS vec_id,
+    CAST(list_sum(list_transform(list_zip(q.v, r.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM fit q JOIN fit r ON q.vec_id <> r.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5"""
+
+
 def op6_weak_label_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The chance of each document to be clean, and whether it is kept."""
     found = weak_labels.scored(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -96,6 +126,11 @@ QUERIES = {
     # tokenizers and packing are not SQL
     "op1_best_fit_packing": (op1_best_fit_packing, None),
     "op3_prefix_suffix_trees": (op3_prefix_suffix_trees, repeats_sql(prefix_trees.MIN_WORDS)),
+    # a fitted model; accuracy on the held-out fold is tested
+    "op2_byte_conv_language": (op2_byte_conv_language, None),
+    # approximate: recall is measured against brute force in the tests
+    "op4_hilbert_neighbours": (op4_hilbert_neighbours, None),
+    "op5_bit_sliced_top_k": (op5_bit_sliced_top_k, TOP_K_SQL),
     # a fitted model; held against the given labels in the tests
     "op6_weak_label_quality": (op6_weak_label_quality, None),
     "op7_line_dedup": (op7_line_dedup, LINES_SQL),
