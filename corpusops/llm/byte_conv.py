@@ -23,7 +23,7 @@ WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDING = 6
 # windows that train the network: of each language the first so many documents by a hash, and one window of each
-FIT_DOCS = 1200
+FIT_DOCS = 1000
 # languages told apart; the most frequent ones in the training rows
 MOST_LANGUAGES = 64
 PASSES = 8

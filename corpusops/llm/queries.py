@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, prefix_trees, simhash_trie, sparse_suffix, weak_labels
+from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, piece_scan, prefix_trees, simhash_trie, sparse_suffix, weak_labels
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -95,6 +95,14 @@ def op8_sparse_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(F.col("rest.doc_id").alias("doc_id"), "out.n_words", "out.n_removed", "out.kept_sha256")
 
 
+def op9_piece_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's ids by the scan, and the digest of what they decode to."""
+    found = piece_scan.encoded(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_ids"), F.crc32("ids").alias("ids_crc32"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op10_simhash_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of SimHash fingerprints linked at two or fewer differing bits."""
     found = simhash_trie.near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -135,6 +143,8 @@ QUERIES = {
     "op6_weak_label_quality": (op6_weak_label_quality, None),
     "op7_line_dedup": (op7_line_dedup, LINES_SQL),
     "op8_sparse_suffix_arrays": (op8_sparse_suffix_arrays, repeats_sql(sparse_suffix.MIN_WORDS)),
+    # segmentation is not SQL; tested by brute force and exact round trips
+    "op9_piece_scan": (op9_piece_scan, None),
     # XXH64 is not an SQL function
     "op10_simhash_trie_join": (op10_simhash_trie_join, None),
 }
