@@ -90,7 +90,7 @@ def chunk_fixed(docs: DataFrame, text: str = "text", size: int = CHUNK_CHARS) ->
 @F.pandas_udf(T.ArrayType(T.LongType()))
 def _starts(lengths: pd.Series) -> pd.Series:
     """Offset of each line from the lengths of those before it, one newline after each."""
-    return lengths.map(lambda n: (n + 1).cumsum() - (n + 1))
+    return lengths.map(lambda n: None if n is None else (n + 1).cumsum() - (n + 1))
 
 
 def chunk_lines(docs: DataFrame, text: str = "text") -> DataFrame:

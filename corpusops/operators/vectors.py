@@ -164,12 +164,14 @@ def with_checked_vectors(df: DataFrame, dims: int, vector: str = "embedding") ->
 
 
 def build_index(chunks: DataFrame, embedder, path: str) -> int:
-    """Embed chunks and write the index table; its row count comes from the file footers."""
-    save_index(embedder.embed(chunks.withColumn("content", embed_text()), "content"), path)
-    rows = chunks.sparkSession.read.parquet(path).count()
-    if not rows:
+    """Embed chunks and write the index table; its row count comes from the file footers.
+
+    An empty corpus fails before anything is written, so an index that is there stays.
+    """
+    if chunks.isEmpty():
         raise ValueError("no indexable chunks")
-    return rows
+    save_index(embedder.embed(chunks.withColumn("content", embed_text()), "content"), path)
+    return chunks.sparkSession.read.parquet(path).count()
 
 
 def save_index(vectors: DataFrame, path: str) -> str:
