@@ -12,8 +12,12 @@ are independent, and equal words are encoded once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import heapq
+import re
+from collections.abc import Iterable, Iterator
+from operator import itemgetter
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 import sentencepiece
@@ -26,8 +30,10 @@ MARK = "\u2581"
 # no character of a text: half of a surrogate pair
 STAND_IN = "\ud800"
 CHUNK = 1 << 15
-MEMO_WORDS = 100_000
+MEMO_WORDS = 200_000
 NONE = -1e30
+STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+BORDER = re.compile(f"(?<=[^{MARK}]){MARK}")
 
 
 class Pieces:
@@ -49,28 +55,34 @@ class Pieces:
             self.text[i] = p.replace(MARK, " ").encode()
         for b, i in self.bytes.items():
             self.text[i] = bytes([b])
-        self.memo: dict[str, tuple[float, bytes]] = {}
-
-    def steps(self, text: str, at: int, end: int) -> Iterator[tuple[int, float]]:
-        """(characters, score) of the pieces that start at a place of the text."""
-        found = False
-        for size in range(1, min(self.longest, end - at) + 1):
-            score = self.scores.get(text[at : at + size])
-            if score is not None:
-                found = found or size == 1
-                yield size, score
-        if not found:
-            yield 1, self.fallback * len(text[at].encode("utf-8", "surrogatepass"))
+        self.singles = {p for p in self.ids if len(p) == 1}
+        self.finder = ahocorasick.Automaton()
+        for p, score in self.scores.items():
+            self.finder.add_word(p, (len(p), score))
+        self.finder.make_automaton()
+        self.memo: dict[str, bytes] = {}
+
+    def steps(self, text: str) -> Iterable[tuple[int, tuple[int, float]]]:
+        """(place of the last character, (characters, score)) of every piece in the text, by place."""
+        found = self.finder.iter(text)
+        if self.singles.issuperset(text):
+            return found
+        spelt = [
+            (at, (1, self.fallback * len(c.encode("utf-8", "surrogatepass")))) for at, c in enumerate(text) if c not in self.singles
+        ]
+        return heapq.merge(found, spelt, key=itemgetter(0))
 
     def reach(self, text: str, entry: int, size: int) -> tuple[list[float], list[int]]:
         """Best score of each place from ``entry`` on, through pieces that start before ``size``, and the last piece's length."""
         best, last = [NONE] * (len(text) + 1), [0] * (len(text) + 1)
         best[entry] = 0.0
-        for at in range(entry, size):
-            if best[at] > NONE:
-                for n, score in self.steps(text, at, len(text)):
-                    if best[at] + score > best[at + n]:
-                        best[at + n], last[at + n] = best[at] + score, n
+        # a place is settled before any piece that starts there ends
+        for end, (n, score) in self.steps(text):
+            at = end + 1 - n
+            if at < size:
+                total = best[at] + score
+                if total > best[end + 1]:
+                    best[end + 1], last[end + 1] = total, n
         return best, last
 
     def trace(self, text: str, last: list[int], entry: int, exit_: int) -> bytes:
@@ -83,32 +95,22 @@ class Pieces:
             at -= last[at]
         return np.array(out[::-1], "<u4").tobytes()
 
-    def word(self, text: str) -> tuple[float, bytes]:
-        """Score and ids of a stretch that no piece crosses."""
+    def word(self, text: str) -> bytes:
+        """Ids of a stretch that no piece crosses."""
         held = self.memo.get(text)
         if held is None:
-            best, last = self.reach(text, 0, len(text))
-            held = best[len(text)], self.trace(text, last, 0, len(text))
+            held = self.trace(text, self.reach(text, 0, len(text))[1], 0, len(text))
             if len(self.memo) < MEMO_WORDS:
                 self.memo[text] = held
         return held
 
     def cuts(self, text: str) -> list[str]:
         """Stretches that no piece crosses: each starts with its word marks."""
-        parts = text.split(MARK)
-        out, marks = ([parts[0]] if parts[0] else []), 0
-        for part in parts[1:]:
-            marks += 1
-            if part:
-                out.append(MARK * marks + part)
-                marks = 0
-        if marks:
-            out.append(MARK * marks)
-        return out
+        return STRETCH.findall(text)
 
     def ends(self, text: str, size: int) -> tuple[int, int]:
         """Where the first stretch that starts inside a chunk begins, and the last."""
-        spots = [i for i in range(1, size) if text[i] == MARK and text[i - 1] != MARK]
+        spots = [m.start() for m in BORDER.finditer(text, 0, size)]
         return (spots[0], spots[-1]) if spots else (-1, -1)
 
     def matrix(self, text: str, size: int) -> np.ndarray:
@@ -139,11 +141,10 @@ class Pieces:
             return self.trace(text, self.reach(text, entry, size)[1], entry, size + exit_)
         head = self.trace(text[:first], self.reach(text[:first], entry, first)[1], entry, first)
         tail = self.trace(text[final:], self.reach(text[final:], 0, size - final)[1], 0, size - final + exit_)
-        return head + b"".join(self.word(w)[1] for w in self.cuts(text[first:final])) + tail
+        return head + b"".join(map(self.word, self.cuts(text[first:final]))) + tail
 
     def encode(self, text: str) -> bytes:
-        word = self.word
-        return b"".join([word(w)[1] for w in self.cuts(text)])
+        return b"".join(map(self.word, self.cuts(text)))
 
     def decode(self, ids: bytes) -> str:
         text = self.text
