@@ -7,6 +7,7 @@ counts are at most ``16 ** digits`` rows per group.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 PREFIX_DIGITS = 3
+BUCKET_ROWS = 1 << 17
+
+
+def prefix_digits(rows: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """Digits that deal this many rows into buckets of at most ``bucket_rows`` or so, three at least."""
+    return max(PREFIX_DIGITS, math.ceil(math.log(max(1.0, rows / bucket_rows), 16)))
 
 
 def _offsets(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -22,11 +29,13 @@ def _offsets(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return counts.withColumn("offset", F.coalesce(F.sum("held").over(before), F.lit(0)))
 
 
-def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), out: str = "rank", digits: int = PREFIX_DIGITS) -> DataFrame:
+def hash_rank(df: DataFrame, key: str, by: Sequence[str] = (), out: str = "rank", digits: int | None = None) -> DataFrame:
     """1-based rank of each row by ``key`` (unique md5 hex) within ``by``.
 
-    ``df`` is read twice, for the counts and for the rows: pass a table or a ``durable`` frame.
+    ``df`` is read three times, for its count, the counts per bucket and the rows: pass a table or
+    a ``durable`` frame. The number of buckets grows with the rows.
     """
+    digits = digits or prefix_digits(df.count())
     dealt = df.withColumn("bucket", F.substring(key, 1, digits))
     offsets = _offsets(dealt, by).select(*by, "bucket", "offset")
     if not by:

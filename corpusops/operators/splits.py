@@ -85,7 +85,8 @@ def group_folds(rows: DataFrame, group: str, folds: int = FOLDS, seed: int = SEE
     plan = spark.createDataFrame(
         list(fold_plan(histogram, folds)), "size bigint, turns array<struct<first: bigint, folds: array<int>>>"
     )
-    ranked = hash_rank(sizes, "key", by=["size"], out="nth").join(plan, "size")
+    # one row per distinct size, on the driver already: groups of one common size stay where they are
+    ranked = hash_rank(sizes, "key", by=["size"], out="nth").join(F.broadcast(plan), "size")
     turn = F.element_at(F.filter("turns", lambda t: t["first"] <= F.col("nth")), -1)
     rotation = F.pmod(F.col("nth") - F.col("turn.first"), F.size("turn.folds")).cast("int")
     return ranked.withColumn("turn", turn).select(

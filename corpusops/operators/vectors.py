@@ -1,14 +1,14 @@
 """Embedding of text, vector tables and exact top-k search.
 
-Search never shuffles the index: each task scans its part of it against a broadcast slice of the
-queries and keeps k rows per query. Slices are cut by a measured query count, so a query set of
-any size is searched exactly, with one scan of the index per slice.
+Queries that fit one slice are broadcast: each task scans its part of the index against them and
+keeps k rows per query, so the index is never shuffled. Larger query sets never pass the driver:
+index and queries are dealt into blocks of bounded size, and every pair of blocks meets in one task.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,7 +28,8 @@ SLICE_BYTES = 32 << 20
 # distances held at once by one task
 BLOCK_CELLS = 1 << 21
 PAIR_BLOCK = 1 << 15
-BROADCAST_HITS = 100_000
+# rough size of a hit: four values
+HIT_BYTES = 64
 
 
 # ---------------------------------------------------------------- text to vector
@@ -193,54 +194,82 @@ def search(
     id_col: str = "id",
     vector: str = "embedding",
     query_id: str = "query_id",
-    digits: int = 6,
+    digits: int | None = None,
     slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The k nearest index rows of each query by L2 distance: (query_id, rank, id, distance).
 
-    Distances are rounded to ``digits`` and ties go to the smaller id, so the order does not
-    depend on how the index is partitioned. With fewer than k index rows, all are hits.
+    Exact distances rank, ties go to the smaller id. ``digits`` rounds distances before they rank,
+    for callers whose vectors carry rounding noise of their own. A vector with a NaN, infinite or
+    null component is infinitely far from all, on either side. With fewer than k index rows, all
+    are hits.
     """
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"))
     held = index.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
     out = T.StructType([asked.schema["query_id"], held.schema["id"], T.StructField("distance", T.DoubleType())])
     count, dims = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
-    slices = max(1, -(-count * (dims or 1) * 8 // slice_bytes))
-    found = None
-    for turn in range(slices):
-        mine = asked if slices == 1 else asked.where(F.pmod(F.xxhash64("query_id"), F.lit(slices)) == turn)
-        part = _scan(held, mine, k, digits, out)
-        found = part if found is None else found.unionAll(part)
+    query_bytes = count * (dims or 1) * 8
+    if query_bytes <= slice_bytes:
+        found = _scan(held, asked, k, digits, out)
+    else:
+        blocks = max(1, -(-held.count() * (dims or 1) * 8 // slice_bytes))
+        found = _blocked(held, asked, k, digits, out, blocks, -(-query_bytes // slice_bytes))
     best = W.partitionBy("query_id").orderBy("distance", "id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     hits = ranked.select("query_id", "rank", "id", "distance")
     # at most k rows per query, counted above: few hits need not shuffle the table they are joined to
-    return hits.hint("broadcast") if k * count <= BROADCAST_HITS else hits
+    return hits.hint("broadcast") if k * count * HIT_BYTES <= slice_bytes else hits
 
 
-def _scan(index: DataFrame, queries: DataFrame, k: int, digits: int, out: T.StructType) -> DataFrame:
+def _scan(index: DataFrame, queries: DataFrame, k: int, digits: int | None, out: T.StructType) -> DataFrame:
     """k rows per query from each task; ``queries`` is one slice of bounded size."""
     asked = queries.toArrow()
     matrix = _matrix(asked.column("vector"), None)
     shared = index.sparkSession.sparkContext.broadcast((asked.column("query_id").to_pandas(), matrix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, asked_vectors = shared.value
-        best = None
-        for batch in batches:
-            if batch.num_rows and len(names):
-                ids = batch.column("id").to_pandas()
-                vectors = _matrix(batch.column("vector"), asked_vectors.shape[1])
-                near = _near(asked_vectors, vectors, ids, k, digits, best)
-                if near:
-                    best = _merge(best, near, k)
-        if best is not None:
-            best = best.assign(query_id=names.to_numpy()[best["query"]])
-            yield pa.RecordBatch.from_pandas(best[["query_id", "id", "distance"]], preserve_index=False)
+        yield from _best_of(*shared.value, batches, k, digits)
 
     return index.mapInArrow(run, out)
 
 
+def _blocked(
+    index: DataFrame, queries: DataFrame, k: int, digits: int | None, out: T.StructType, blocks: int, slices: int
+) -> DataFrame:
+    """k rows per query from each pair of an index block and a query slice, both of bounded size."""
+
+    def dealt(rows: DataFrame, key: str, own: str, parts: int, other: str, copies: int) -> DataFrame:
+        place = F.pmod(F.xxhash64(key), F.lit(parts)).cast("int").alias(own)
+        return rows.select("*", place, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias(other))
+
+    held = dealt(index, "id", "block", blocks, "slice", slices)
+    asked = dealt(queries, "query_id", "slice", slices, "block", blocks)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, matrix = right.column("query_id").to_pandas(), _matrix(right.column("vector"), None)
+        found = list(_best_of(names, matrix, left.to_batches(), k, digits))
+        return pa.Table.from_batches(found) if found else pa.table([right.column(0).slice(0, 0), left.column(0).slice(0, 0), pa.array([], "double")], ["query_id", "id", "distance"])
+
+    keys = ["block", "slice"]
+    return held.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(run, out)
+
+
+def _best_of(
+    names: pd.Series, asked: np.ndarray, batches: Iterable[pa.RecordBatch], k: int, digits: int | None
+) -> Iterator[pa.RecordBatch]:
+    best = None
+    for batch in batches:
+        if batch.num_rows and len(names):
+            ids = batch.column("id").to_pandas()
+            vectors = _matrix(batch.column("vector"), asked.shape[1])
+            near = _near(asked, vectors, ids, k, digits, best)
+            if near:
+                best = _merge(best, near, k)
+    if best is not None:
+        best = best.assign(query_id=names.to_numpy()[best["query"]])
+        yield pa.RecordBatch.from_pandas(best[["query_id", "id", "distance"]], preserve_index=False)
+
+
 def _matrix(vectors, dims: int | None) -> np.ndarray:
     """Rows of a list column as one matrix of doubles; rows of unequal length are an error."""
     values = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
@@ -251,8 +280,14 @@ def _matrix(vectors, dims: int | None) -> np.ndarray:
     return flat.reshape(len(values), lengths.pop())
 
 
+def _finite(vectors: np.ndarray) -> np.ndarray:
+    """Rows with a component that is no finite number become NaN throughout."""
+    good = np.isfinite(vectors).all(axis=1)
+    return vectors if good.all() else np.where(good[:, None], vectors, np.nan)
+
+
 def _near(
-    asked: np.ndarray, held: np.ndarray, ids: pd.Series, k: int, digits: int, best: pd.DataFrame | None
+    asked: np.ndarray, held: np.ndarray, ids: pd.Series, k: int, digits: int | None, best: pd.DataFrame | None
 ) -> list[pd.DataFrame]:
     """Rows that may be among the k best of a query, with exact distances; often none once ``best`` is good.
 
@@ -264,22 +299,26 @@ def _near(
         full = best.groupby("query")["distance"].agg(["size", "max"])
         full = full[full["size"] == k]
         bound[full.index] = full["max"]
+    held, asked = _finite(held), _finite(asked)
     held_sq = np.einsum("ij,ij->i", held, held)
     asked_sq = np.einsum("ij,ij->i", asked, asked)
+    rounding = 0.0 if digits is None else 10.0**-digits
     step = max(1, BLOCK_CELLS // len(held))
     parts = []
     for at in range(0, len(asked), step):
         block = slice(at, at + step)
         square = asked_sq[block, None] + held_sq - 2 * (asked[block] @ held.T)
-        slack = 1e-12 * (asked_sq[block] + held_sq.max())
+        slack = 1e-12 * (np.nan_to_num(asked_sq[block]) + np.nan_to_num(held_sq).max())
         near = np.sqrt(np.maximum(square, 0))
+        near[np.isnan(near)] = np.inf
         limit = bound[block]
         if len(held) > k:
             limit = np.minimum(limit, np.partition(near, k - 1, axis=1)[:, k - 1])
-        rows, columns = np.nonzero(near <= (limit + 10.0**-digits + np.sqrt(slack))[:, None])
+        rows, columns = np.nonzero(near <= (limit + rounding + 2 * np.sqrt(slack))[:, None])
         for cut in range(0, len(rows), PAIR_BLOCK):
             row, column = rows[cut : cut + PAIR_BLOCK] + at, columns[cut : cut + PAIR_BLOCK]
-            exact = np.sqrt(((asked[row] - held[column]) ** 2).sum(axis=1)).round(digits)
+            exact = np.sqrt(((asked[row] - held[column]) ** 2).sum(axis=1))
+            exact = np.where(np.isnan(exact), np.inf, exact if digits is None else exact.round(digits))
             parts.append(pd.DataFrame({"query": row, "distance": exact, "id": ids.to_numpy()[column]}))
     return parts
 

@@ -171,8 +171,8 @@ def knn_cte(name: str, k: int, model: str = "full") -> str:
     q, v = ("q", "v") if model == "full" else (f"list_transform({c}, lambda x: sign(x) / 8.0)" for c in ("q", "v"))
     return f"""{name} AS (
   SELECT query_id, rank, id, distance FROM (
-    SELECT query_id, id, distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
-    FROM (SELECT a.query_id, h.id, round(list_distance({q}, {v}), 6) AS distance FROM asked a CROSS JOIN held h))
+    SELECT query_id, id, round(distance, 6) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank
+    FROM (SELECT a.query_id, h.id, list_distance({q}, {v}) AS distance FROM asked a CROSS JOIN held h))
   WHERE rank <= {k})"""
 
 
@@ -246,12 +246,13 @@ def _finder(shared):
 
         by_text = {}
         for item, text in shared.value:
-            by_text.setdefault(text, []).append(item)
+            if text:
+                by_text.setdefault(text, []).append(item)
         words = ahocorasick.Automaton()
         for text, items in by_text.items():
             words.add_word(text, items)
         words.make_automaton()
         for batch in batches:
-            yield pd.Series([sorted({i for _, ids in words.iter(t) for i in ids}) for t in batch])
+            yield pd.Series([sorted({i for _, ids in words.iter(t) for i in ids}) if t and by_text else [] for t in batch])
 
     return F.pandas_udf(find, "array<bigint>")

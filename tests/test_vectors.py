@@ -12,13 +12,13 @@ def frame(spark, ids, matrix, name="id", kind="long"):
 def brute(ids, held, asked_ids, asked, k):
     hits = []
     for q, v in zip(asked_ids, asked):
-        ranked = sorted((round(float(np.sqrt(((h - v) ** 2).sum())), 6), i) for i, h in zip(ids, held))
+        ranked = sorted((float(np.sqrt(((h - v) ** 2).sum())), i) for i, h in zip(ids, held))
         hits += [(q, rank + 1, i, d) for rank, (d, i) in enumerate(ranked[:k])]
-    return sorted(hits)
+    return sorted((q, rank, i, round(d, 6)) for q, rank, i, d in hits)
 
 
 def found(df):
-    return sorted((r.query_id, r["rank"], r.id, r.distance) for r in df.collect())
+    return sorted((r.query_id, r["rank"], r.id, round(r.distance, 6)) for r in df.collect())
 
 
 @pytest.fixture(scope="module")
@@ -45,11 +45,34 @@ def test_search_in_small_blocks(spark, sets, monkeypatch):
     best = None
     for at in range(0, 600, 130):
         names = __import__("pandas").Series(ids[at : at + 130])
-        best = V._merge(best, V._near(asked, held[at : at + 130], names, 6, 6, best), 6)
-    got = sorted((int(q), int(i), d) for q, d, i in best.itertuples(index=False))
+        best = V._merge(best, V._near(asked, held[at : at + 130], names, 6, None, best), 6)
+    got = sorted((int(q), int(i), round(d, 6)) for q, d, i in best.itertuples(index=False))
     assert got == sorted((q, i, d) for q, _, i, d in brute(ids, held, asked_ids, asked, 6))
 
 
+def test_small_distances_rank(spark):
+    held = np.arange(10.0, 0, -1)[:, None] * 1e-8
+    hits = V.search(frame(spark, range(10), held), frame(spark, [1], np.zeros((1, 1)), "query_id"), 3).collect()
+    assert [r.id for r in sorted(hits, key=lambda r: r["rank"])] == [9, 8, 7]
+
+
+@pytest.mark.parametrize("slice_bytes", [1 << 20, 16])
+def test_vectors_that_are_not_finite_come_last(spark, slice_bytes):
+    held = [[np.nan, 0], [3, 0], [np.inf, 1], [1, 0]]
+    asked = frame(spark, [1, 2], [[0, 0], [np.nan, 0]], "query_id")
+    hits = V.search(frame(spark, range(4), held), asked, 3, slice_bytes=slice_bytes)
+    got = sorted((r.query_id, r["rank"], r.id, r.distance) for r in hits.collect())
+    far = float("inf")
+    assert got == [(1, 1, 3, 1.0), (1, 2, 1, 3.0), (1, 3, 0, far), (2, 1, 0, far), (2, 2, 1, far), (2, 3, 2, far)]
+
+
+def test_large_query_sets_stay_off_the_driver(spark, sets, monkeypatch):
+    ids, held, asked_ids, asked = sets
+    monkeypatch.setattr(V, "_scan", None)
+    hits = V.search(frame(spark, ids, held), frame(spark, asked_ids, asked, "query_id"), 6, slice_bytes=700)
+    assert found(hits) == brute(ids, held, asked_ids, asked, 6)
+
+
 def test_later_batches_without_a_near_row(spark):
     held = np.vstack([np.zeros((5, 3)), np.full((400, 3), 9.0)])
     before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
@@ -119,7 +142,8 @@ def test_index_life_cycle_and_rendering(spark, tmp_path):
     assert first == f"--- b.py::h (lines 1-2) ---\n{top.content}" and second.startswith("--- a.py::")
     assert texts["q2"] == "No relevant code found."
     with pytest.raises(ValueError, match="no indexable"):
-        V.build_index(chunks.where("file = 'none'"), embedder, str(tmp_path / "other"))
+        V.build_index(chunks.where("file = 'none'"), embedder, path)
+    assert V.load_index(spark, path).count() == 3
 
 
 def test_hashed_vectors_have_unit_length_and_count_rows(spark):
