@@ -33,6 +33,10 @@ HEADLINE = (
     "metrics_by_category",
     "cv_fold_summary",
     "cv_predictions",
+    "code_classifier_report",
+    "fresh_code_report",
+    "lexical_retrieval_eval",
+    "file_lookup",
     "tokenize_truncate",
     "array_duplicates",
     "string_funcs",
