@@ -64,14 +64,15 @@ def deduplicate(items: Column) -> Column:
 
 
 def duplicates(items: Column) -> Column:
-    """Values present more than once, each once, ascending.
+    """Values present more than once, each once, ascending, a repeated null first.
 
     Sorting puts equal values side by side, so one pass over neighbours finds them.
     """
     ordered = F.sort_array(items)
     later = F.slice(ordered, F.lit(2), F.greatest(F.size(ordered) - 1, F.lit(0)))
-    pairs = F.zip_with(ordered, later, lambda a, b: F.when(a == b, a))
-    return F.array_distinct(F.array_compact(pairs))
+    earlier = F.slice(ordered, F.lit(1), F.size(later))
+    pairs = F.zip_with(earlier, later, lambda a, b: F.struct(a.alias("value"), a.eqNullSafe(b).alias("twice")))
+    return F.array_distinct(F.transform(F.filter(pairs, lambda p: p["twice"]), lambda p: p["value"]))
 
 
 def chunk_array(items: Column, size: int) -> Column:

@@ -5,11 +5,12 @@ Each is a short composition of operators; results are DataFrames, nothing is pri
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusops.operators import chunking, classify, ireval, metrics, mutation, splits, vectors
+from corpusops.schemas import CHUNK
 from corpusops.session import durable
 from corpusops.sources import repo_files
 from corpusops.sources.examples import read_jsonl, with_correct, write_jsonl, write_metrics, write_predictions
@@ -18,12 +19,21 @@ from corpusops.sources.guards import require_columns, require_rows
 
 def chunk_repository(spark: SparkSession, root: str, ignore_dirs=None) -> DataFrame:
     """Chunks of every Python file below a folder."""
-    return chunking.chunk_code(repo_files.decode_files(repo_files.scan_repo(spark, root, ignore_dirs)))
+    return audit_repository(spark, root, ignore_dirs)[0]
+
+
+def audit_repository(spark: SparkSession, root: str, ignore_dirs=None) -> tuple[DataFrame, DataFrame]:
+    """(chunks, rejects) from one scan and parse; rejects are (file, reason) of files without chunks."""
+    files = durable(repo_files.decode_files(repo_files.scan_repo(spark, root, ignore_dirs)))
+    parsed = durable(chunking.parse_units(files))
+    unread = files.where(F.col("reject").isNotNull()).select(F.col("path").alias("file"), F.col("reject").alias("reason"))
+    failed = parsed.where(F.col("error").isNotNull()).select("file", F.col("error").alias("reason"))
+    return parsed.where(F.col("error").isNull()).select(*CHUNK.fieldNames()), unread.unionByName(failed)
 
 
 def index_repository(spark: SparkSession, root: str, embedder, path: str, ignore_dirs=None) -> int:
     """Chunk, embed and save an index; returns the number of chunks. A fresh embedder is fitted first."""
-    chunks = durable(chunk_repository(spark, root, ignore_dirs))
+    chunks = chunk_repository(spark, root, ignore_dirs)
     _fitted(embedder, chunks)
     return vectors.build_index(chunks, embedder, path)
 
@@ -70,18 +80,34 @@ def generate_dataset(sources: DataFrame, path: str, seed: int = mutation.SEED) -
     """Write shuffled examples of (source_id, code) as JSON lines; returns them as read back."""
     require_columns(sources, "source_id", "code")
     write_jsonl(mutation.shuffled(durable(mutation.examples(sources)), seed), path)
-    return read_jsonl(sources.sparkSession, path)
+    return read_examples(sources.sparkSession, path)
+
 
+def read_examples(spark: SparkSession, path: str) -> DataFrame:
+    """Labelled examples for training; a record without one of their fields fails the job."""
+    return read_jsonl(spark, path, required=("code", "label", "source_id", "mutation"))
 
-def train_and_report(examples: DataFrame, model_path: str | None = None, metrics_path: str | None = None) -> dict:
-    """Holdout by source: balance, baseline, fitted model, scores and accuracy per kind of defect."""
+
+def train_and_report(
+    examples: DataFrame, model_path: str | None = None, metrics_path: str | None = None, candidates: dict[int, Pipeline] | None = None
+) -> dict:
+    """Holdout by source: balance, baseline, fitted model, scores and accuracy per kind of defect.
+
+    Of several ``candidates`` the one is fitted that is best by balanced accuracy over folds of the
+    train side; ``history`` then holds all their scores, and is None otherwise.
+    """
     require_columns(examples, "code", "label", "source_id", "mutation")
     rows = durable(splits.group_holdout(examples, "source_id"))
     require_rows(rows, "no examples")
     if not splits.leaked_groups(rows, "source_id").isEmpty():
         raise AssertionError("a source lies on both sides of the split")
     train, test = (rows.where(F.col("split") == side) for side in ("train", "test"))
-    model = classify.fit(classify.featurize(train, "code"))
+    history, estimator = None, None
+    if candidates:
+        folded = splits.group_kfold(train, "source_id")
+        history = durable(classify.tuning_history(folded, "code", candidates))
+        estimator = candidates[classify.best_checkpoint(history).first()["epoch"]]
+    model = classify.fit(classify.featurize(train, "code"), estimator)
     scored = durable(classify.predict(model, classify.featurize(test, "code")).drop("counts"))
     report = metrics.report(metrics.confusion(scored))
     if model_path:
@@ -90,6 +116,7 @@ def train_and_report(examples: DataFrame, model_path: str | None = None, metrics
         write_metrics(report, metrics_path)
     return {
         "model": model,
+        "history": history,
         "balance": splits.class_balance(rows, "split"),
         "baseline": splits.majority_baseline(test),
         "metrics": report,

@@ -113,8 +113,10 @@ def chunk_lines(docs: DataFrame, text: str = "text") -> DataFrame:
     return units.where(F.col("unit") != "")
 
 
-def filter_chunks(chunks: DataFrame, file: str, kind: str = "function") -> DataFrame:
-    return chunks.where((F.col("file") == file) & (F.col("type") == kind))
+def filter_chunks(chunks: DataFrame, file: str | Column | None = None, kind: str = "function") -> DataFrame:
+    """Chunks of one kind, in one file where one is named."""
+    of_kind = chunks.where(F.col("type") == kind)
+    return of_kind if file is None else of_kind.where(F.col("file") == file)
 
 
 def first_named(chunks: DataFrame, *scope: str) -> DataFrame:

@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, NaiveBayes
 from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.operators import splits
-from corpusops.operators.metrics import score_report
+from corpusops.operators.metrics import confusion, report, score_report
 from corpusops.operators.mutation import normal_form
 from corpusops.session import durable
 
@@ -25,7 +26,10 @@ ITERATIONS = 15
 
 def tokens(text: Column, limit: int = MAX_TOKENS) -> Column:
     """Words, numbers and single symbols in order, cut after ``limit`` as the model's input is."""
-    return F.slice(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"), F.lit(0)), 1, limit)
+    token = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_\s]"
+    # tokens and white space make up a text, so its first tokens are found without reading on
+    head = F.regexp_extract(F.lower(text), rf"^(?:\s*+(?:{token})){{1,{limit}}}", 0)
+    return F.slice(F.regexp_extract_all(head, F.lit(token), F.lit(0)), 1, limit)
 
 
 def featurize(rows: DataFrame, text: str, slots: int = 1 << 14) -> DataFrame:
@@ -34,6 +38,22 @@ def featurize(rows: DataFrame, text: str, slots: int = 1 << 14) -> DataFrame:
     return counted.transform(rows.withColumn("tokens", tokens(F.col(text)))).drop("tokens")
 
 
+def md5_counts(rows: DataFrame, text: str, slots: int = 64) -> DataFrame:
+    """Token counts by md5 slot, which any engine can repeat; a null text has none."""
+    hits = F.transform(tokens(F.coalesce(F.col(text), F.lit(""))), lambda t: F.conv(F.substring(F.md5(t), 1, 6), 16, 10).cast("int") % slots)
+    add = lambda held, hit: F.transform(held, lambda n, slot: n + F.when(slot == hit, 1.0).otherwise(0.0))
+    return rows.withColumn("counts", array_to_vector(F.aggregate(hits, F.array_repeat(F.lit(0.0), slots), add)))
+
+
+def weighted_bayes(smoothing: float = 1.0) -> Pipeline:
+    """Multinomial naive Bayes over ``counts``, weighted by class: one aggregation, no iterations."""
+    bayes = NaiveBayes(
+        featuresCol="counts", labelCol="label", weightCol="weight", smoothing=smoothing,
+        probabilityCol="probabilities", rawPredictionCol="logits", predictionCol="said",
+    )
+    return Pipeline(stages=[bayes])
+
+
 def weighted_logistic(iterations: int = ITERATIONS, reg: float = 0.01) -> Pipeline:
     """IDF and a class-weighted logistic loss over ``counts``; both are fitted on the train side only."""
     return Pipeline(
@@ -74,23 +94,45 @@ def score_fresh(model: PipelineModel, examples: DataFrame, slots: int = 1 << 14)
     return score_report(predict(model, featurize(ready, "code", slots)).drop("counts"))
 
 
-def out_of_fold(rows: DataFrame, text: str, folds: int = splits.FOLDS, slots: int = 1 << 14) -> DataFrame:
+def out_of_fold(
+    rows: DataFrame, text: str, folds: int = splits.FOLDS, slots: int = 1 << 14,
+    estimator: Pipeline | None = None, features: Callable[[DataFrame, str, int], DataFrame] = featurize,
+) -> DataFrame:
     """Predict each fold with a model that has seen only the others; every row is predicted once.
 
-    Features are cut to a shared table, as each of the k fits reads them several times. The fits
-    are independent, so their jobs are submitted side by side.
+    Features are cut to a shared table partitioned by fold, as each of the k fits reads its own folds
+    several times. The fits are independent, so their jobs are submitted side by side.
     """
-    ready = durable(featurize(rows, text, slots))
+    return _cross_fitted(durable(features(rows, text, slots), "fold"), folds, estimator)
+
 
+def _cross_fitted(ready: DataFrame, folds: int, estimator: Pipeline | None) -> DataFrame:
     def held_out(fold: int) -> DataFrame:
-        model = fit(ready.where(F.col("fold") != fold))
+        model = fit(ready.where(F.col("fold") != fold), estimator)
         return predict(model, ready.where(F.col("fold") == fold)).drop("counts")
 
     with ThreadPoolExecutor(folds) as pool:
-        parts = list(pool.map(inheritable_thread_target(rows.sparkSession)(held_out), range(folds)))
+        parts = list(pool.map(inheritable_thread_target(ready.sparkSession)(held_out), range(folds)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def tuning_history(
+    rows: DataFrame, text: str, candidates: dict[int, Pipeline], folds: int = splits.FOLDS, slots: int = 1 << 14,
+    features: Callable[[DataFrame, str, int], DataFrame] = featurize,
+) -> DataFrame:
+    """One row of scores per numbered estimator, from its out-of-fold predictions of rows with a ``fold``.
+
+    Features are made once for all candidates; each is reduced to its counts before the next is fitted.
+    """
+    ready = durable(features(rows, text, slots), "fold")
+    counts = [
+        durable(confusion(_cross_fitted(ready, folds, estimator)).withColumn("epoch", F.lit(number)))
+        for number, estimator in candidates.items()
+    ]
+    scored = report(reduce(DataFrame.unionByName, counts))
+    return scored.select("epoch", *[F.col(c).alias(f"eval_{c}") for c in ("accuracy", "balanced_accuracy", "f1")])
+
+
 # ---------------------------------------------------------------- scores from logits
 
 

@@ -203,8 +203,10 @@ def _labelled(source_id: int, raw: str) -> Iterator[tuple]:
             if code and code != base:
                 # only an emptied statement list can leave text that does not parse
                 parses = edit[2] != [] or _parses(code)
-                yield code, 1, source_id, kind, order, site, parses, code not in seen
-                seen.add(code)
+                # a digest, as the texts of a long source do not fit in memory together
+                digest = hashlib.blake2b(code.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+                yield code, 1, source_id, kind, order, site, parses, digest not in seen
+                seen.add(digest)
 
 
 def expand(sources: DataFrame) -> DataFrame:

@@ -1,21 +1,27 @@
 """Joins that stay balanced when few keys hold most rows.
 
-A key with more than ``1 / HEAVY_SHARE`` of the rows is heavy. Fewer than ``HEAVY_SHARE`` keys can
-be, so the heavy keys fit on the driver and in a broadcast whatever the table's size.
+A task's fair share is the rows divided by the session's shuffle partitions. A key with more than a
+``SPLIT``-th of that is heavy and is dealt in parts of about that size, so no key outweighs a task at
+any scale. Fewer than ``SPLIT`` keys per shuffle partition can be heavy, which bounds the broadcasts.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 1000
-SALTS = 64
+from corpusops.session import durable
 
+SPLIT = 16
 
-def _scatter(rows: DataFrame, ways: int) -> Column:
-    """A salt drawn from the row itself, so that a task run again deals its rows the same way."""
-    return F.pmod(F.xxhash64(*rows.columns), F.lit(ways)).cast("int")
+
+def _parts(spark: SparkSession) -> int:
+    return SPLIT * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _scatter(rows: DataFrame, ways: Column) -> Column:
+    """A salt drawn from the row and its partition, so that a task run again deals its rows the same way."""
+    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns], F.spark_partition_id()), ways).cast("int")
 
 
 def _no_salt(key: str) -> Column:
@@ -23,22 +29,25 @@ def _no_salt(key: str) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
 
 
-def heavy_keys(rows: DataFrame, key: str) -> list:
-    """Keys above the share, fewer than ``HEAVY_SHARE``; tasks combine their counts before the shuffle."""
-    total = rows.select(F.count("*")).scalar()
-    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
-    return [r[0] for r in counts.where((F.col("n") * HEAVY_SHARE > total) & F.col(key).isNotNull()).collect()]
+def heavy_keys(rows: DataFrame, key: str) -> DataFrame:
+    """(key, ways) of heavy keys; tasks combine their counts before the shuffle."""
+    spark = rows.sparkSession
+    limit = max(1, rows.count() // _parts(spark))
+    counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > limit)
+    return durable(counts.select(key, F.ceil(F.col("n") / limit).alias("_ways")))
 
 
 def salted_left_join(rows: DataFrame, unique: DataFrame, key: str) -> DataFrame:
-    """``rows`` left join ``unique`` (one row per key): heavy keys meet ``SALTS`` copies of their match."""
-    heavy = heavy_keys(rows, key)
-    if not heavy:
-        return rows.join(unique, key, "left")
-    is_heavy = F.col(key).isin(heavy)
-    left = rows.withColumn("_salt", F.when(is_heavy, _scatter(rows, SALTS)).otherwise(0))
-    copies = F.when(is_heavy, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = unique.withColumn("_salt", F.explode(copies))
+    """``rows`` left join ``unique`` (one row per key): a heavy key's rows meet as many copies of its match as it has parts.
+
+    Rows without a key match nothing and are spread.
+    """
+    heavy = F.broadcast(heavy_keys(rows, key))
+    lone = F.when(F.col(key).isNull(), _scatter(rows, F.lit(_parts(rows.sparkSession))))
+    salt = F.when(F.col("_ways").isNotNull(), _scatter(rows, F.col("_ways"))).otherwise(F.coalesce(lone, F.lit(0)))
+    left = rows.join(heavy, key, "left").withColumn("_salt", salt).drop("_ways")
+    copies = F.sequence(F.lit(0), (F.coalesce("_ways", F.lit(1)) - 1).cast("int"))
+    right = unique.join(heavy, key, "left").withColumn("_salt", F.explode(copies)).drop("_ways")
     return left.join(right, [key, "_salt"], "left").drop("_salt")
 
 
@@ -48,11 +57,12 @@ def with_group_value(rows: DataFrame, lookup: DataFrame, key: str, value: str) -
     Values of heavy keys are broadcast; their rows then take a salt that matches nothing and
     spreads them through the join of the rest.
     """
-    total = lookup.select(F.sum("size")).scalar()
-    is_heavy = F.col("size") * HEAVY_SHARE > total
+    parts = _parts(rows.sparkSession)
+    limit = max(1, (lookup.agg(F.sum("size")).first()[0] or 0) // parts)
+    is_heavy = F.col("size") > limit
     heavy = lookup.where(is_heavy).select(key, F.col(value).alias("_heavy"))
     light = lookup.where(~is_heavy).select(key, _no_salt(key).alias("_salt"), F.col(value).alias("_light"))
     marked = rows.join(F.broadcast(heavy), key, "left")
-    salt = F.when(F.col("_heavy").isNull(), _no_salt(key)).otherwise(1 + _scatter(rows, HEAVY_SHARE))
+    salt = F.when(F.col("_heavy").isNull(), _no_salt(key)).otherwise(1 + _scatter(rows, F.lit(parts)))
     joined = marked.withColumn("_salt", salt).join(light, [key, "_salt"], "left")
     return joined.select(*[F.col(c) for c in rows.columns], F.coalesce("_heavy", "_light").alias(value))

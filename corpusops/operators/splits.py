@@ -191,6 +191,13 @@ def class_weights(rows: DataFrame, *keys: str) -> DataFrame:
     return classes.select(*keys, "class.label", "class.count", F.try_divide("n", 2 * F.col("class.count")).alias("weight"))
 
 
+def balanced_weights(rows: DataFrame) -> DataFrame:
+    """``n / (classes * n_c)`` per class that occurs, for any number of classes."""
+    counted = rows.groupBy("label").agg(F.count("*").alias("count"))
+    whole = counted.agg(F.sum("count").cast("double").alias("n"), F.count("*").alias("classes")).first()
+    return counted.withColumn("weight", F.lit(whole["n"]) / (whole["classes"] * F.col("count")))
+
+
 def with_class_weight(rows: DataFrame, weights: DataFrame) -> DataFrame:
     """Two weights for the whole table are broadcast; with keys the planner goes by their size."""
     keys = [c for c in weights.columns if c not in ("label", "count", "weight")]

@@ -15,7 +15,7 @@ from corpusops.plans.inputs import (
     sql_text,
     table,
 )
-from corpusops.session import spread
+from corpusops.session import durable, spread
 from corpusops.sources.repo_files import decode_files, lookup_files, select_files
 
 # Labelled searches over the code corpus; `expected` is a name without its number.
@@ -105,7 +105,7 @@ def inline_eval_set(spark, sf_dir):
     names = code_chunks(spark, sf_dir).groupBy(family.alias("expected")).agg(
         F.count("*").alias("chunks"), F.countDistinct("file").alias("files")
     )
-    joined = F.broadcast(queries).join(names, "expected", "left")
+    joined = queries.join(names, "expected", "left")
     return joined.select(*EVAL_COLUMNS, F.coalesce("chunks", F.lit(0)).alias("chunks"), F.coalesce("files", F.lit(0)).alias("files"))
 
 
@@ -114,8 +114,15 @@ def chunk_code_units(spark, sf_dir):
 
 
 def chunk_filter(spark, sf_dir):
-    chunks = code_chunks(spark, sf_dir).where(F.col("type") == "function")
-    return chunks.select("file", "name", F.length("code").cast("bigint").alias("n_chars"))
+    functions = chunking.filter_chunks(code_chunks(spark, sf_dir))
+    return functions.select("file", "name", F.length("code").cast("bigint").alias("n_chars"))
+
+
+def chunk_filter_file(spark, sf_dir):
+    """The functions of one file, the last by name that has any."""
+    chunks = durable(code_chunks(spark, sf_dir))
+    first = chunks.where(F.col("type") == "function").agg(F.max("file")).scalar()
+    return chunking.filter_chunks(chunks, first).select("file", "name", "start_line", F.length("code").cast("bigint").alias("n_chars"))
 
 
 def chunk_lookup(spark, sf_dir):
@@ -196,6 +203,11 @@ QUERIES = {
         chunk_filter,
         f"WITH {CHUNKS_CTE} SELECT file, name, length(code) AS n_chars FROM chunks WHERE type = 'function'",
     ),
+    "chunk_filter_file": (
+        chunk_filter_file,
+        f"""WITH {CHUNKS_CTE}, f AS (SELECT file, name, start_line, length(code) AS n_chars FROM chunks WHERE type = 'function')
+            SELECT * FROM f WHERE file = (SELECT max(file) FROM f)""",
+    ),
     "chunk_lookup": (
         chunk_lookup,
         f"""WITH {CHUNKS_CTE}, r AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY file, ordinal) AS rn FROM chunks)

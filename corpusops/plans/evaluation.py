@@ -124,10 +124,9 @@ def fresh_code_report(spark, sf_dir):
 
 
 def _scored(spark, sf_dir):
-    """Two vector components as the scores of two classes."""
-    scores = F.slice("embedding", 1, 2).cast("array<double>")
-    rows = vectors(spark, sf_dir).select("id", (F.col("label") >= 6).cast("int").alias("label"), scores.alias("scores"))
-    return splits.with_class_weight(rows, splits.class_weights(rows))
+    """Each vector component as the score of one class; a class weighs n / (classes * its rows)."""
+    rows = vectors(spark, sf_dir).select("id", F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<double>").alias("scores"))
+    return splits.with_class_weight(rows, splits.balanced_weights(rows))
 
 
 def argmax_label(spark, sf_dir):
@@ -138,8 +137,8 @@ def softmax_confidence(spark, sf_dir):
     scored = _scored(spark, sf_dir).withColumn("p", classify.softmax(F.col("scores")))
     return scored.select(
         "id",
-        F.round(F.col("p")[0], 6).alias("p_clean"),
-        F.round(F.col("p")[1], 6).alias("p_buggy"),
+        F.round(F.element_at("p", F.col("label") + 1), 6).alias("p_label"),
+        F.round(F.aggregate("p", F.lit(0.0), lambda a, b: a + b), 6).alias("mass"),
         classify.argmax(F.col("scores")).alias("predicted"),
         F.round(F.array_max("p"), 6).alias("confidence"),
     )
@@ -269,10 +268,10 @@ _HISTORY_CTE = f"""{PREDS_CTE}, {_scored_cte(f'''SELECT epoch, {_CONFUSION} FROM
   FROM preds CROSS JOIN range(1, {EPOCHS + 1}) e(epoch)) GROUP BY epoch''')}"""
 _EVALS = "epoch, accuracy AS eval_accuracy, balanced_accuracy AS eval_balanced_accuracy, f1 AS eval_f1"
 _DOCS = "docs AS (SELECT doc_id, source, text FROM documents)"
-_SCORES_CTE = """w AS (SELECT vec_id AS id, CAST(label >= 6 AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-n AS (SELECT label, (SELECT count(*) FROM w) / (2 * count(*)) AS weight FROM w GROUP BY label),
-x AS (SELECT id, label, weight, exp(e[1] - greatest(e[1], e[2])) AS a, exp(e[2] - greatest(e[1], e[2])) AS b FROM w JOIN n USING (label)),
-p AS (SELECT id, label, weight, a / (a + b) AS p0, b / (a + b) AS p1 FROM x)"""
+_SCORES_CTE = """w AS (SELECT vec_id AS id, CAST(label AS INTEGER) AS label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+n AS (SELECT label, (SELECT count(*) FROM w) / ((SELECT count(DISTINCT label) FROM w) * count(*)) AS weight FROM w GROUP BY label),
+x AS (SELECT id, label, weight, e, list_transform(e, lambda v: exp(v - list_max(e))) AS a FROM w JOIN n USING (label)),
+p AS (SELECT id, label, weight, e, list_transform(a, lambda v: v / list_sum(a)) AS p FROM x)"""
 
 QUERIES = {
     "group_holdout_split": (
@@ -344,12 +343,12 @@ QUERIES = {
     ),
     "softmax_confidence": (
         softmax_confidence,
-        f"""WITH {_SCORES_CTE} SELECT id, round(p0, 6) AS p_clean, round(p1, 6) AS p_buggy,
-            CAST(p1 > p0 AS INTEGER) AS predicted, round(greatest(p0, p1), 6) AS confidence FROM p""",
+        f"""WITH {_SCORES_CTE} SELECT id, round(p[label + 1], 6) AS p_label, round(list_sum(p), 6) AS mass,
+            list_position(e, list_max(e)) - 1 AS predicted, round(list_max(p), 6) AS confidence FROM p""",
     ),
     "weighted_log_loss": (
         weighted_log_loss,
-        f"""WITH {_SCORES_CTE}, l AS (SELECT weight, -ln(CASE WHEN label = 1 THEN p1 ELSE p0 END) AS loss FROM p)
+        f"""WITH {_SCORES_CTE}, l AS (SELECT weight, -ln(p[label + 1]) AS loss FROM p)
             SELECT round(sum(weight * loss) / sum(weight), 6) AS weighted_log_loss, round(avg(loss), 6) AS log_loss, count(*) AS n FROM l""",
     ),
     "eval_history": (eval_history, f"WITH {_HISTORY_CTE} SELECT {_EVALS} FROM c"),

@@ -43,7 +43,3 @@ MUTANT = T.StructType(
 SITE_COUNT = _row(("source_id", _L, True), ("mutation", _S, True), ("sites", _I, True))
 
 NORMALIZED = _row(("source_id", _L, True), ("code", _S, True), ("changed", _B, True))
-
-LABELLED_QUERY = _row(("query_id", _S, False), ("query", _S, False), ("expected_id", _S, False))
-
-OOD_EXAMPLE = _row(("code", _S, False), ("label", _I, False), ("category", _S, False), ("reason", _S, True))

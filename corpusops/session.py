@@ -46,11 +46,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/corpusops/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder; the result survives lost executors."""
+def durable(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Compute ``df`` once into the shared folder; the result survives lost executors.
+
+    Reads that filter on a ``partition_by`` column open only its folders.
+    """
     path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if not partition_by:
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def spread(df: DataFrame) -> DataFrame:

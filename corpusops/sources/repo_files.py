@@ -109,6 +109,8 @@ class RepoFiles(DataSource):
 
 def scan_repo(spark: SparkSession, root: str, ignore_dirs=None, suffix: str = SUFFIX) -> DataFrame:
     """(path relative to ``root``, content bytes) of every matching file on a mounted filesystem."""
+    if not os.path.isdir(root):
+        raise FileNotFoundError(f"no folder {root}")
     spark.dataSource.register(RepoFiles)
     reader = spark.read.format("repo_files").option("suffix", suffix)
     reader = reader.option("width", str(max(8, 2 * spark.sparkContext.defaultParallelism)))
@@ -147,15 +149,17 @@ def decode_files(files: DataFrame) -> DataFrame:
 
 
 def lookup_files(requests: DataFrame, files: DataFrame) -> DataFrame:
-    """Content of each requested path, or a message naming the path that is not there.
+    """Content of each requested path, or a message: the path is not there, or its file has no readable text.
 
-    Many requests may ask for one path, so the join is salted.
+    Many requests may ask for one path, so the join is salted. A path listed twice counts once.
     """
-    # Fixed value: the not-found message.
+    # The not-found message and the head of the read-error message.
     missing = F.format_string("Error: %s not found in repo.", F.col("path"))
-    known = files.select("path", F.col("text"), F.lit(True).alias("found"))
+    unread = F.lit("Error reading file: ")
+    reject = F.col("reject") if "reject" in files.columns else F.lit(None).cast("string")
+    known = files.groupBy("path").agg(F.min("text").alias("text"), F.min(reject).alias("_reject")).withColumn("found", F.lit(True))
     return salted_left_join(requests, known, "path").select(
         *requests.columns,
         F.coalesce("found", F.lit(False)).alias("found"),
-        F.when(F.col("found"), F.col("text")).otherwise(missing).alias("output"),
+        F.when(F.col("found"), F.coalesce("text", F.concat(unread, F.coalesce("_reject", F.lit("no text"))))).otherwise(missing).alias("output"),
     )

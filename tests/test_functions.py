@@ -93,3 +93,8 @@ def test_arrays(spark, items):
 def test_display_formats(spark):
     ratio = F.lit(0.875)
     assert one(spark, T.percent(ratio), T.percent(ratio, 0), T.decimals(ratio), T.decimals(ratio, 2, True)) == ["87.5%", "88%", "0.875", "+0.88"]
+
+
+def test_a_null_held_twice_is_a_duplicate(spark):
+    df = spark.createDataFrame([([None, 2, None, 2, 1],), ([],), (None,), ([None],)], "a array<int>")
+    assert [r[0] for r in df.select(C.duplicates(F.col("a"))).collect()] == [[None, 2], [], None, []]

@@ -94,3 +94,23 @@ def test_cross_validation(spark, tmp_path):
     assert 0 <= summary.pooled <= 1
     with pytest.raises(ValueError, match="mutation"):
         jobs.cross_validate(examples.drop("mutation"))
+
+
+def test_rejects_come_with_the_chunks(spark, tmp_path):
+    (tmp_path / "good.py").write_text("def f():\n    return 1\n")
+    (tmp_path / "bad.py").write_text("def f(:\n")
+    (tmp_path / "raw.py").write_bytes(b"\xff\xfe")
+    chunks, rejects = jobs.audit_repository(spark, str(tmp_path))
+    assert [r.name for r in chunks.collect()] == ["f"]
+    assert {(r.file, r.reason) for r in rejects.collect()} == {("bad.py", "SyntaxError"), ("raw.py", "not utf-8")}
+
+
+def test_the_best_candidate_is_fitted(spark):
+    from corpusops.operators import classify
+
+    rows = [(f"x = {'bad' if i % 2 else 'good'} + {i % 7}", i % 2, i // 4, "off_by_one" if i % 2 else "none") for i in range(80)]
+    examples = spark.createDataFrame(rows, "code string, label int, source_id long, mutation string")
+    candidates = {1: classify.weighted_logistic(0, 0.01), 2: classify.weighted_logistic(10, 0.01)}
+    made = jobs.train_and_report(examples, candidates=candidates)
+    scores = {r.epoch: r.eval_balanced_accuracy for r in made["history"].collect()}
+    assert scores[2] == 1.0 > scores[1] and made["metrics"].first().accuracy == 1.0

@@ -112,3 +112,27 @@ def test_guards(spark, tmp_path):
     with pytest.raises(FileNotFoundError, match="build"):
         guards.require_path(spark, str(tmp_path / "none"), "build it first")
     assert guards.require_rows(guards.require_columns(df, "id"), "x") is df
+
+
+def test_required_fields_of_json_lines(spark, tmp_path):
+    (tmp_path / "few").write_text('{"code":"a","label":0,"source_id":1}\n')
+    assert read_jsonl(spark, str(tmp_path / "few"), required=("code",)).count() == 1
+    with pytest.raises(Exception, match="lacks mutation"):
+        read_jsonl(spark, str(tmp_path / "few"), required=("code", "mutation")).collect()
+
+
+def test_lookup_of_unreadable_and_repeated_paths(spark):
+    files = spark.createDataFrame([("a", "x", None), ("a", "x", None), ("b", None, "not utf-8")], "path string, text string, reject string")
+    asked = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "request_id long, path string")
+    found = {r.request_id: (r.found, r.output) for r in repo_files.lookup_files(asked, files).collect()}
+    assert found[1] == (True, "x") and found[2] == (True, "Error reading file: not utf-8") and not found[3][0] and len(found) == 3
+
+
+def test_a_missing_root_fails(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        repo_files.scan_repo(spark, str(tmp_path / "none"))
+
+
+def test_metrics_keep_named_keys(spark, tmp_path):
+    metrics = spark.range(1).select(F.lit("en").alias("lang"), F.lit(3).alias("n"))
+    assert spark.read.text(write_metrics(metrics, str(tmp_path / "m"), "lang")).first().value == '{"lang":"en","n":3.0}'

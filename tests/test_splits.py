@@ -137,3 +137,17 @@ def test_rows_of_a_heavy_key_are_spread_by_the_salted_join(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[0])
         spark.conf.set("spark.sql.adaptive.enabled", before[1])
+
+
+def test_salted_join_spreads_repeated_rows_and_rows_without_a_key(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 4 == 1, 7).otherwise(F.col("id")).alias("key")).repartition(8)
+    lookup = spark.createDataFrame([(7, "seven"), (2, "two")], "key long, value string")
+    got = skew.salted_left_join(rows, lookup, "key")
+    assert sorted(map(str, got.collect())) == sorted(map(str, rows.join(lookup, "key", "left").collect()))
+    counted = {r.key: r._ways for r in skew.heavy_keys(rows, "key").collect()}
+    assert set(counted) == {7} and counted[7] == -(-1000 // (4000 // (16 * 8)))
+
+
+def test_weights_of_many_classes(spark):
+    df = spark.createDataFrame([(0,), (0,), (1,), (5,)], "label int")
+    assert {r.label: r.weight for r in S.balanced_weights(df).collect()} == {0: 4 / 6, 1: 4 / 3, 5: 4 / 3}
