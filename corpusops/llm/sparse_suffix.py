@@ -9,6 +9,7 @@ matches are then extended left and right within those bounds.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -86,12 +87,13 @@ def passages_lost(entries: list[tuple[list, list, int, int, int]], size: int) ->
     rights, lefts = [e[1] for e in entries], [e[0][::-1] for e in entries]
     right = _neighbours(rights, sorted(range(len(entries)), key=rights.__getitem__))
     left = _neighbours(lefts, sorted(range(len(entries)), key=lefts.__getitem__))
-    least: dict[tuple, int] = {}
+    # 128-bit digests of passages, which a group can hold many of
+    least: dict[bytes, int] = {}
     seen = []
     for e, (before, behind, low, i, m) in enumerate(entries):
         own = []
         for reach in range(max(low, size - right[e]), min(len(before), left[e]) + 1):
-            passage = tuple(before[len(before) - reach :] + behind[: size - reach])
+            passage = hashlib.blake2b(b" ".join(before[len(before) - reach :] + behind[: size - reach]), digest_size=16).digest()
             least[passage] = min(least.get(passage, i), i)
             own.append((reach, passage))
         seen.append(own)
@@ -162,15 +164,18 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         marks = Marks(spread)
         for batch in batches:
             for bucket, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
-                keys, ids, found, lost_ids, lost = map(unpress, blobs)
+                lost_ids, lost = map(unpress, blobs[3:])
                 if lost:
                     yield from marks.add(np.frombuffer(lost_ids, np.int64), np.frombuffer(lost, np.int64))
-                if ids:
-                    held.setdefault(bucket, []).append((keys, ids, found))
+                # one bucket at a time is unpacked
+                held.setdefault(bucket, []).append(blobs[:3])
         for bucket in list(held):
             best: dict[bytes, list] = {}
             out: list[tuple[int, int]] = []
-            for keys, ids, found in held.pop(bucket):
+            for blobs in held.pop(bucket):
+                keys, ids, found = map(unpress, blobs)
+                if not ids:
+                    continue
                 for key, i, m in zip(keys.split(b"\n"), np.frombuffer(ids, np.int64).tolist(), np.frombuffer(found, np.int64).tolist()):
                     # the same words all round: only the smallest document need be compared further
                     kept = best.setdefault(key, [i])
@@ -179,18 +184,21 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                         kept[:] = [i]
                     kept.append(m) if i == kept[0] else out.append((i, m))
             # the bucket's sparse suffix array: places in the text, in the order of what follows them
-            suffixes = sorted((_suffix(key), key) for key in best)
+            suffixes = sorted(best, key=_suffix)
             group: list[tuple] = []
-            for number, (suffix, key) in enumerate(suffixes):
-                words = suffix.split(b" ")
+            for number, key in enumerate(suffixes):
+                words = _suffix(key).split(b" ")
                 context, high, low = key.split(b"\t")
-                i, *found = best[key]
+                i, *found = best.pop(key)
                 group.extend((context.split(b" ", int(high))[: int(high)], words, int(low), i, m) for m in found)
-                following = suffixes[number + 1][0].split(b" ", k)[:k] if number + 1 < len(suffixes) else None
+                following = _suffix(suffixes[number + 1]).split(b" ", k)[:k] if number + 1 < len(suffixes) else None
                 if following != words[:k]:
                     if len(group) > 1:
                         out.extend(passages_lost(group, min_words))
                     group = []
+                    if len(out) >= GATHER_ENTRIES:
+                        yield from marks.add(*zip(*out))
+                        out = []
             if out:
                 yield from marks.add(*zip(*out))
         yield from marks.packed()
