@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.llm.components import components
+from corpusops.llm.near_copies import deduplicated  # noqa: F401
 from corpusops.llm.repeats import LAST_ID
 from corpusops.llm.words import Texts, slices
 from corpusops.session import durable
@@ -219,13 +220,3 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tree = components(links(nodes, budget))
     named = nodes.join(tree, F.col("node") == F.col("u"), "left").select("fp", F.coalesce("v", "node").alias("component_id"))
     return marked.join(named, "fp").select("doc_id", "id", "fp", "component_id")
-
-
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; rows that repeat an id count once."""
-    found = near_duplicates(docs, doc_id, text)
-    kept = found.where(F.col("id") == F.col("component_id")).select(F.col("id").alias("kept_id")).distinct()
-    key = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST_ID))
-    rest = docs.join(kept, key == F.col("kept_id"), "left_semi")
-    repeats = found.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").limit(1).count()
-    return rest.dropDuplicates([doc_id]) if repeats else rest

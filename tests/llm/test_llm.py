@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, piece_scan, prefix_trees, queries, simhash_trie
+from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, near_copies, piece_scan, prefix_trees, queries, simhash_trie
 from corpusops.llm import sparse_suffix, weak_labels
 from corpusops.llm.components import components
 
@@ -242,6 +242,46 @@ def test_pieces(spark, docs, rows):
                 assert abs(score(bytes(r.ids)) - made.reach(text, 0, len(text))[0][-1]) < 1e-3 * max(1, len(text))
 
 
+def jaccard_roots(texts, words=5):
+    sets = []
+    for t in texts:
+        w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets.append({tuple(w[i : i + words]) for i in range(max(1, len(w) - words + 1))})
+    root = list(range(len(sets)))
+    near = [(a, b) for a, b in itertools.combinations(range(len(sets)), 2) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    before = None
+    while root != before:
+        before = list(root)
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    return root, near
+
+
+@pytest.mark.parametrize("sample, common", [(16, 4), (1, 2)])
+def test_near_copies_equal_brute_force(spark, monkeypatch, sample, common):
+    import corpus_pipeline
+
+    monkeypatch.setattr(near_copies, "SAMPLE", sample)
+    monkeypatch.setattr(near_copies, "COMMON", common)
+    draw = np.random.default_rng(11)
+    texts = []
+    for n in (4, 5, 9, 30, 60, 200, 200, 400):
+        base = [f"w{i}" for i in draw.integers(0, 10**6, n)]
+        for edits in (0, 0, 1, 1, 2, 3, 4, 6, 9, 12):
+            copy = list(base)
+            for at in draw.integers(0, n, edits):
+                copy[at] = f"X{draw.integers(0, 10**6)}"
+            texts.append(" ".join(copy))
+    root, near = jaccard_roots(texts)
+    close = [a for a, b in near if texts[a] != texts[b]]
+    assert len(close) > 30
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = corpus_pipeline.near_duplicates(spark, table, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(root))
+    found = {(r.v, r.u) for r in near_copies.links(table.select(F.col("doc_id").alias("node"), "text")).collect()}
+    assert found == set(near)
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
