@@ -282,6 +282,21 @@ def test_near_copies_equal_brute_force(spark, monkeypatch, sample, common):
     assert found == set(near)
 
 
+def test_unlike_documents_without_or_with_one_id_stay(spark):
+    import corpus_pipeline
+
+    unlike = [" ".join(f"{name}{i}" for i in range(20)) for name in "abcdefg"]
+    rows = [(None, unlike[0]), (None, unlike[1]), (5, unlike[1] + " end"), (None, unlike[2]), (7, unlike[3]), (7, unlike[4]), (7, unlike[4]), (8, unlike[4]), (None, None), (9, " \n")]
+    for some in (rows, [r for r in rows if r[0] is None], rows[4:8]):
+        table = spark.createDataFrame(some, "doc_id long, text string")
+        kept = {(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, table, SF).collect()}
+        wanted = {(None, unlike[0]), (5, unlike[1] + " end"), (None, unlike[2]), (7, unlike[3]), (7, unlike[4]), (9, " \n")}
+        if some is not rows:
+            wanted = {r for r in some if r[0] != 8}
+        assert kept == wanted
+        assert corpus_pipeline.near_duplicates(spark, table, SF).count() == len(wanted)
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
