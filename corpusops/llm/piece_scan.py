@@ -175,7 +175,11 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
 
 def marked(text: str) -> str:
     """The text as pieces see it: a mark in front and for each space; a mark of its own becomes bytes."""
-    return MARK + text.replace(MARK, STAND_IN).replace(" ", MARK) if text else ""
+    return MARK + replaced(text) if text else ""
+
+
+def replaced(text: str) -> str:
+    return text.replace(MARK, STAND_IN).replace(" ", MARK)
 
 
 def encoded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -202,16 +206,21 @@ def encoded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "te
         ahead = Pieces(model).longest
         for batch in batches:
             for row, i, t in zip(*(c.to_pylist() for c in batch.columns)):
-                t = marked(t)
-                for number, low in enumerate(range(0, len(t), chunk)):
-                    part = t[low : low + chunk + ahead]
-                    values = [row, i, number, min(chunk, len(t) - low), part]
+                # cut as the marked text is, which has one character more in front; the stand-in has no place in a column
+                total = len(t) + 1
+                for number, low in enumerate(range(0, total, chunk)):
+                    part = t[max(0, low - 1) : low - 1 + chunk + ahead]
+                    values = [row, i, number, min(chunk, total - low), part]
                     yield pa.RecordBatch.from_arrays([pa.array([v]) if v is not None else pa.array([v], pa.int64()) for v in values], ["row", "doc_id", "chunk", "size", "text"])
 
+    def parts_of(batch: pa.RecordBatch) -> Iterator[str]:
+        for number, t in zip(batch.column("chunk").to_pylist(), batch.column("text").to_pylist()):
+            yield replaced(t) if number else marked(t)
+
     def transfer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
         for batch in batches:
-            made = [pieces.matrix(t, n).tobytes() for t, n in zip(batch.column("text").to_pylist(), batch.column("size").to_pylist())]
+            made = [pieces.matrix(t, n).tobytes() for t, n in zip(parts_of(batch), batch.column("size").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(made, pa.binary())], ["row", "chunk", "matrix"])
 
     def combine(table: pa.Table) -> pa.Table:
@@ -223,8 +232,8 @@ def encoded(docs: DataFrame, model: str, doc_id: str = "doc_id", text: str = "te
     def back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("text", "size", "entry", "exit")]
-            ids = [pieces.chunk_ids(*x) for x in zip(*columns)]
+            columns = [batch.column(c).to_pylist() for c in ("size", "entry", "exit")]
+            ids = [pieces.chunk_ids(*x) for x in zip(parts_of(batch), *columns)]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "chunk")), pa.array(ids, pa.binary())], ["row", "doc_id", "chunk", "ids"])
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

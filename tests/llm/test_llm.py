@@ -297,6 +297,21 @@ def test_unlike_documents_without_or_with_one_id_stay(spark):
         assert corpus_pipeline.near_duplicates(spark, table, SF).count() == len(wanted)
 
 
+def test_pieces_of_long_texts_with_word_marks(spark):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    made = piece_scan.Pieces(model)
+    mark = piece_scan.MARK
+    texts = [f"a {mark} b{mark}c " * 30, mark * 120, mark + "word " * 40 + mark, " " * 60 + mark * 60, "x" * 49, "x" * 50 + mark, mark * 49, mark * 50]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in piece_scan.encoded(table, model, chunk=50).collect()}
+    assert [got[i].decoded for i in range(len(texts))] == texts
+    piece = {i: p for p, i in made.ids.items()}
+    for i, text in enumerate(texts):
+        total = sum(made.scores[piece[x]] if x in piece else made.fallback for x in np.frombuffer(bytes(got[i].ids), "<u4").tolist())
+        seen = piece_scan.marked(text)
+        assert abs(total - made.reach(seen, 0, len(seen))[0][-1]) < 1e-3 * len(seen)
+
+
 def test_pipeline_runs(spark):
     import corpus_pipeline
 
