@@ -24,8 +24,6 @@ FILTERS = 8
 EMBEDDING = 6
 # windows that train the network: of each language the first so many documents by a hash, and one window of each
 FIT_DOCS = 1000
-# languages told apart; the most frequent ones in the training rows
-MOST_LANGUAGES = 64
 PASSES = 8
 BATCH = 64
 UNKNOWN = "und"
@@ -126,20 +124,18 @@ def fitted(docs: DataFrame, trains: Column, doc_id: str, text: str, lang: str) -
     draw = F.xxhash64(F.col(doc_id), F.lit(11))
     drawn = rows.select(F.col(lang).alias("lang"), draw.alias("draw"), F.substring(text, 1, 4 * WINDOW).alias("text"))
     ranked = drawn.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= FIT_DOCS)
-    chosen = ranked.orderBy("nth", "lang").limit(FIT_DOCS * MOST_LANGUAGES).collect()
+    chosen = ranked.orderBy("nth", "lang").collect()
     if not chosen:
         return None
-    languages = sorted({r.lang for r in chosen})[:MOST_LANGUAGES] if len({r.lang for r in chosen}) <= MOST_LANGUAGES else sorted(
-        sorted({r.lang for r in chosen}, key=lambda x: -sum(r.lang == x for r in chosen))[:MOST_LANGUAGES]
-    )
+    languages = sorted({r.lang for r in chosen})
+    place = {x: i for i, x in enumerate(languages)}
     windows, labels = [], []
     for r in chosen:
-        if r.lang in languages:
-            data = np.frombuffer(r.text.encode(), np.uint8)
-            cut, _ = cut_windows(data, np.array([0, len(data)]))
-            # full windows teach more, but short texts must be known too
-            windows.extend(cut[:2])
-            labels.extend([languages.index(r.lang)] * len(cut[:2]))
+        data = np.frombuffer(r.text.encode(), np.uint8)
+        cut, _ = cut_windows(data, np.array([0, len(data)]))
+        # full windows teach more, but short texts must be known too
+        windows.extend(cut[:2])
+        labels.extend([place[r.lang]] * len(cut[:2]))
     return train(np.stack(windows), np.array(labels), languages)
 
 

@@ -217,6 +217,12 @@ def test_languages(spark):
     assert {r.lang_pred for r in byte_conv.predict(odd, F.lit(True)).collect()} == {"und"}
 
 
+def test_every_language_is_learned(spark):
+    names = [f"l{i:03}" for i in range(100)]
+    table = spark.createDataFrame([(i, f"{x} {x}", x) for i, x in enumerate(names)], "doc_id long, text string, lang string")
+    assert byte_conv.fitted(table, F.lit(True), "doc_id", "text", "lang").languages == names
+
+
 def test_quality(spark, docs):
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
     got = queries.op6_weak_label_quality(spark, "/root/testdata/sf0.01").join(labels, "doc_id").collect()
