@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, piece_scan, prefix_trees, simhash_trie, sparse_suffix, weak_labels
+from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, piece_scan, prefix_trees, simhash_trie, sparse_suffix, weak_labels, word_variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,6 +130,58 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kep
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
+def op13_dense_affix_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts, their near words, frequent forms and roots."""
+    return word_variants.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+# a checksum by its definition, as a sum over bytes with a table made by rule
+CRC32_SQL = """
+bits AS (SELECT x, list_reduce([CAST(x AS BIGINT)] || [CAST(0 AS BIGINT) FOR k IN range(8)],
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END) AS v FROM range(256) t(x)),
+crc_table AS (SELECT list(v ORDER BY x) AS t FROM bits),
+checked AS (
+  SELECT doc_id, run, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, octet_length(encode(key))),
+      lambda i: CAST('0x' || substr(hex(encode(key)), 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295::BIGINT) AS h
+  FROM (SELECT DISTINCT doc_id, run, doc_id || ':' || run AS key FROM runs), crc_table
+)"""
+
+VARIANTS_SQL = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '{word_variants.RUN}+')), '{word_variants.UPPER}', '{word_variants.LOWER}') AS run FROM documents
+),
+{CRC32_SQL.strip()},
+cut AS (
+  SELECT CASE WHEN h % {word_variants.DRAW} = 0
+    THEN left(run, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word
+  FROM runs JOIN checked USING (doc_id, run)
+),
+words AS (
+  SELECT word, count(*) AS n FROM cut WHERE length(word) >= {word_variants.MIN_LENGTH} GROUP BY word HAVING count(*) >= {word_variants.MIN_COUNT}
+),
+gaps AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+holes AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM gaps),
+pairs AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word AND length(a.word) = length(b.word)
+  UNION SELECT a.word, a.n, b.word, b.n FROM holes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM holes a JOIN words b ON a.rest = b.word
+),
+ranked AS (
+  SELECT word, n, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS nth FROM pairs
+),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= {word_variants.DOMINANCE} * w.n THEN near END AS form, CASE WHEN near_n >= {word_variants.DOMINANCE} * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND nth = 1
+),
+chain AS (
+  SELECT word, word AS at FROM forms
+  UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON chain.at = forms.word WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.n, f.n_near, f.form, f.form_n, c.at AS root FROM forms f JOIN chain c USING (word) JOIN forms e ON c.at = e.word WHERE e.form IS NULL"""
+
+
 QUERIES = {
     # tokenizers and packing are not SQL
     "op1_best_fit_packing": (op1_best_fit_packing, None),
@@ -147,4 +199,5 @@ QUERIES = {
     "op9_piece_scan": (op9_piece_scan, None),
     # XXH64 is not an SQL function
     "op10_simhash_trie_join": (op10_simhash_trie_join, None),
+    "op13_dense_affix_variants": (op13_dense_affix_variants, VARIANTS_SQL),
 }
