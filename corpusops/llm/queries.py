@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusops.llm import best_fit, bit_sliced, byte_conv, hilbert_search, line_dedup, piece_scan, prefix_trees, simhash_trie, sparse_suffix, weak_labels, word_variants
+from corpusops.llm import anchor_codes, best_fit, bit_sliced, byte_conv, clause_grammar, hilbert_search, line_dedup, piece_scan, prefix_trees, simhash_trie, sparse_suffix, weak_labels, word_variants
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -130,6 +130,54 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n_kep
 FROM docs LEFT JOIN kept USING (doc_id)"""
 
 
+def op11_clause_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, learned from the labels of four of five folds."""
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    return clause_grammar.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out)
+
+
+def op12_anchor_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors under codebooks of 64 entries for each of 16 parts."""
+    return anchor_codes.encoded(_table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql() -> str:
+    near = "list_sum(list_transform(list_zip(a.v, b.v), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+    rounds = ""
+    for r in range(anchor_codes.ROUNDS + 1):
+        # the least of distance * entries + entry: ties go to the lower entry
+        rounds += f"""
+assigned{r} AS (
+  SELECT a.vec_id, a.p, min(CAST({near} AS BIGINT) * {anchor_codes.ENTRIES} + b.e) AS best FROM pieces a JOIN book{r} b ON a.p = b.p GROUP BY a.vec_id, a.p
+),"""
+        if r < anchor_codes.ROUNDS:
+            rounds += f"""
+places{r} AS (
+  SELECT s.p, best % {anchor_codes.ENTRIES} AS e, unnest(v) AS x, generate_subscripts(v, 1) AS k FROM assigned{r} s JOIN pieces USING (vec_id, p)
+),
+means{r} AS (SELECT p, e, k, CAST(floor(sum(x) / count(*)) AS BIGINT) AS x FROM places{r} GROUP BY p, e, k),
+fresh{r} AS (SELECT p, e, list(x ORDER BY k) AS v FROM means{r} GROUP BY p, e),
+book{r + 1} AS (SELECT o.p, o.e, coalesce(n.v, o.v) AS v FROM book{r} o LEFT JOIN fresh{r} n ON o.p = n.p AND o.e = n.e),"""
+    last = anchor_codes.ROUNDS
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor({anchor_codes.SCALE} * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+pieces AS (
+  SELECT vec_id, p, v[p * (len(v) // {anchor_codes.PARTS}) + 1:(p + 1) * (len(v) // {anchor_codes.PARTS})] AS v FROM kept, range({anchor_codes.PARTS}) t(p)
+),
+first AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {anchor_codes.ENTRIES}),
+book0 AS (SELECT p, e, v FROM pieces JOIN first USING (vec_id)),{rounds}
+coded AS (
+  SELECT vec_id, label, string_agg(lower(lpad(to_hex(best % {anchor_codes.ENTRIES}), 2, '0')), '' ORDER BY p) AS code,
+    CAST(sum(best // {anchor_codes.ENTRIES}) AS BIGINT) AS error
+  FROM assigned{last} JOIN kept USING (vec_id) GROUP BY vec_id, label
+),
+told AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book{last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM coded, told"""
+
+
 def op13_dense_affix_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all texts, their near words, frequent forms and roots."""
     return word_variants.variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -200,4 +248,7 @@ QUERIES = {
     # XXH64 is not an SQL function
     "op10_simhash_trie_join": (op10_simhash_trie_join, None),
     "op13_dense_affix_variants": (op13_dense_affix_variants, VARIANTS_SQL),
+    # a fitted model; accuracy on the held-out fold is tested
+    "op11_clause_grammar": (op11_clause_grammar, None),
+    "op12_anchor_codes": (op12_anchor_codes, _codes_sql()),
 }
