@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
@@ -133,6 +136,88 @@ def tuning_history(
     return scored.select("epoch", *[F.col(c).alias(f"eval_{c}") for c in ("accuracy", "balanced_accuracy", "f1")])
 
 
+# ---------------------------------------------------------------- epochs
+
+
+@dataclass
+class EpochFit:
+    """Scores of the test side after each epoch, and the weights each epoch ended with (the last one is the bias)."""
+
+    history: DataFrame
+    weights: list[np.ndarray]
+
+    def best(self) -> np.ndarray:
+        """Weights of the epoch that ``best_checkpoint`` names."""
+        return self.weights[best_checkpoint(self.history).first()["epoch"] - 1]
+
+
+def _shares(column: pa.Array, slots: int) -> np.ndarray:
+    """Rows of counts as shares of their sum, and a one for the bias."""
+    values = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), slots)
+    return np.concatenate([values / np.maximum(1.0, values.sum(axis=1, keepdims=True)), np.ones((len(values), 1))], axis=1)
+
+
+def _pass(ready: DataFrame, slots: int, weights: np.ndarray, class_weight: tuple[float, float]) -> dict[int, float]:
+    """One scan: the train side's gradient by slot, and the test side's counts and losses under negative numbers.
+
+    Tasks send one row per number, which the shuffle adds up before the driver sees them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(slots + 1 + len(TOLD))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = _shares(batch.column("counts"), slots), batch.column("label").to_numpy(zero_copy_only=False).astype(float)
+            tested = batch.column("tested").to_numpy(zero_copy_only=False).astype(bool)
+            share = np.where(y == 1, class_weight[1], class_weight[0])
+            z = x @ weights
+            error = share * (1 / (1 + np.exp(-np.clip(z, -500, 500))) - y)
+            loss = share * (np.logaddexp(0, z) - y * z)
+            said, true = z > 0, y == 1
+            sums[: slots + 1] += error[~tested] @ x[~tested]
+            told = [true & said, true & ~said, ~true & said, ~true & ~said]
+            sums[slots + 1 :] += [*((t & tested).sum() for t in told), loss[tested].sum(), share[tested].sum(), share[~tested].sum()]
+        place = np.append(np.arange(slots + 1), -1 - np.arange(len(TOLD)))
+        yield pa.RecordBatch.from_arrays([pa.array(place.astype(np.int32)), pa.array(sums)], ["place", "value"])
+
+    sent = ready.mapInArrow(run, "place int, value double")
+    return {r["place"]: r["value"] for r in sent.groupBy("place").agg(F.sum("value").alias("value")).collect()}
+
+
+# what a pass tells besides the gradient
+TOLD = ("tp", "fn", "fp", "tn", "loss", "test_weight", "train_weight")
+
+
+def fit_epochs(rows: DataFrame, text: str, epochs: int = ITERATIONS, rate: float = 1.0, slots: int = 1 << 10, digits: int = 9) -> EpochFit:
+    """A class-weighted logistic model by one full gradient step per epoch, scored on the test side after each.
+
+    ``rows`` has ``label`` and ``split``; the train side's class counts weigh the classes, and a class
+    without train rows is an error. Features are written once. An epoch is one scan that gives the
+    gradient at the weights so far and their scores alike, so n epochs take n + 1 scans. Weights are
+    rounded to ``digits``, so the order in which tasks' sums are added does not show.
+    """
+    balance = {r["label"]: r["weight"] for r in splits.class_weights(rows.where(F.col("split") == "train")).collect()}
+    absent = [label for label, weight in balance.items() if weight is None]
+    if absent:
+        raise ValueError(f"no training rows of class {absent}")
+    ready = md5_counts(rows, text, slots).select(F.col("label").cast("int").alias("label"), (F.col("split") == "test").alias("tested"), vector_to_array("counts").alias("counts"))
+    ready = durable(ready)
+    weights, kept, scored = np.zeros(slots + 1), [], []
+    for epoch in range(epochs + 1):
+        sums = _pass(ready, slots, weights, (balance[0], balance[1]))
+        told = {name: sums[-1 - i] for i, name in enumerate(TOLD)}
+        if epoch:
+            loss = told["loss"] / told["test_weight"] if told["test_weight"] else None
+            scored.append((epoch, *(int(told[c]) for c in TOLD[:4]), loss))
+        gradient = np.array([sums[i] for i in range(slots + 1)]) / max(told["train_weight"], 1e-300)
+        weights = np.round(weights - rate * gradient, digits)
+        kept.append(weights)
+    counts = rows.sparkSession.createDataFrame(scored, "epoch int, tp long, fn long, fp long, tn long, loss double")
+    named = [F.col(c).alias(f"eval_{c}") for c in ("accuracy", "balanced_accuracy", "f1", "loss")]
+    return EpochFit(report(counts).select("epoch", *named), kept[:epochs])
+
+
 # ---------------------------------------------------------------- scores from logits
 
 
@@ -141,10 +226,19 @@ def argmax(scores: Column) -> Column:
     return (F.array_position(scores, F.array_max(scores)) - 1).cast("int")
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once per row, where a lambda would work it out per element."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _total(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, b: a + b)
+
+
 def softmax(scores: Column) -> Column:
     """Shifted by the maximum, so that large scores do not overflow."""
-    powers = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    return F.transform(powers, lambda p: p / F.aggregate(powers, F.lit(0.0), lambda a, b: a + b))
+    powers = _bound(F.array_max(scores), lambda top: F.transform(scores, lambda s: F.exp(s - top)))
+    return _bound(powers, lambda each: _bound(_total(each), lambda total: F.transform(each, lambda p: p / total)))
 
 
 def confidence(scores: Column) -> Column:
@@ -153,9 +247,8 @@ def confidence(scores: Column) -> Column:
 
 def log_loss(label: Column, scores: Column) -> Column:
     """-ln p[label], taken in logs."""
-    top = F.array_max(scores)
-    mass = F.aggregate(F.transform(scores, lambda s: F.exp(s - top)), F.lit(0.0), lambda a, b: a + b)
-    return F.ln(mass) + top - F.element_at(scores, label.cast("int") + 1)
+    said = F.element_at(scores, label.cast("int") + 1)
+    return _bound(F.array_max(scores), lambda top: F.ln(_total(F.transform(scores, lambda s: F.exp(s - top)))) + top - said)
 
 
 def weighted_log_loss(scored: DataFrame, *keys: str) -> DataFrame:

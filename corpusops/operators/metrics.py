@@ -13,13 +13,13 @@ SMALL_LIFT = 0.05
 
 def confusion(preds: DataFrame, *keys: str) -> DataFrame:
     """tp, fn, fp, tn of (label, predicted) per key."""
+    return preds.groupBy(*keys).agg(*_outcomes())
+
+
+def _outcomes() -> list[Column]:
     pos, said = F.col("label") == 1, F.col("predicted") == 1
-    return preds.groupBy(*keys).agg(
-        F.count_if(pos & said).alias("tp"),
-        F.count_if(pos & ~said).alias("fn"),
-        F.count_if(~pos & said).alias("fp"),
-        F.count_if(~pos & ~said).alias("tn"),
-    )
+    kinds = {"tp": pos & said, "fn": pos & ~said, "fp": ~pos & said, "tn": ~pos & ~said}
+    return [F.count_if(kind).alias(name) for name, kind in kinds.items()]
 
 
 def _ratio(part: Column, *whole: Column) -> Column:
@@ -71,6 +71,13 @@ def fold_summary(fold_counts: DataFrame) -> DataFrame:
     return rolled.select("folds", "mean", "std", balanced_accuracy().alias("pooled"))
 
 
+def fold_and_pooled(preds: DataFrame, fold: str = "fold") -> DataFrame:
+    """All scores per fold and, with scope ``pooled`` and no fold, over all of them: one pass and one shuffle of counts."""
+    counts = preds.groupingSets([[fold], []], fold).agg(F.grouping(fold).alias("_all"), *_outcomes())
+    scope = F.when(F.col("_all") == 1, "pooled").otherwise("fold")
+    return report(counts.withColumn("scope", scope).drop("_all"))
+
+
 def by_category(preds: DataFrame, category: str, worst_first: bool = True) -> DataFrame:
     """correct/total per category with its place: worst ratio first, or by name.
 

@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-from corpusops.plans import columns, corpus, dataset, evaluation, retrieval, training
+from corpusops.plans import audits, columns, corpus, dataset, evaluation, retrieval, training
 
-QUERIES = {**corpus.QUERIES, **dataset.QUERIES, **retrieval.QUERIES, **evaluation.QUERIES, **training.QUERIES, **columns.QUERIES}
+QUERIES = {**corpus.QUERIES, **dataset.QUERIES, **retrieval.QUERIES, **evaluation.QUERIES, **training.QUERIES, **columns.QUERIES, **audits.QUERIES}
