@@ -120,11 +120,19 @@ def filter_chunks(chunks: DataFrame, file: str | Column | None = None, kind: str
 
 
 def first_named(chunks: DataFrame, *scope: str) -> DataFrame:
-    """First chunk of each name, in ``scope`` (say, per file), by walk order; with its length."""
-    columns = [c for c in chunks.columns if c not in ("name", *scope)]
-    ranked = F.struct("file", "ordinal", *[c for c in columns if c not in ("file", "ordinal")])
-    first = chunks.groupBy(*scope, "name").agg(F.min(ranked).alias("first"))
-    return first.select(*scope, "name", *[f"first.{c}" for c in columns]).withColumn("n_chars", F.length("code"))
+    """First chunk of each name, in ``scope`` (say, per file), by walk order; with its length.
+
+    The first places are found from the keys alone; the text of no other chunk is aggregated. ``chunks``
+    is read twice, so give a written table where it is costly to make.
+    """
+    keys = list(dict.fromkeys([*scope, "name"]))
+    least = chunks.groupBy(*keys).agg(F.min(F.struct("file", "ordinal")).alias("_first"))
+    places = least.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_first.file").alias("_at_file"), F.col("_first.ordinal").alias("_at_ordinal"))
+    pairs = [*[(k, f"_{k}") for k in keys], ("file", "_at_file"), ("ordinal", "_at_ordinal")]
+    first = chunks.join(places, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs], "left_semi")
+    # a file that was listed twice has its chunks twice
+    others = [c for c in chunks.columns if c not in keys]
+    return first.dropDuplicates(keys).select(*keys, *others).withColumn("n_chars", F.length("code"))
 
 
 def is_cut(start: Column, end: Column, size: int = CHUNK_CHARS) -> Column:

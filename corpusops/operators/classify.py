@@ -78,7 +78,12 @@ def fit(train: DataFrame, estimator: Pipeline | None = None) -> PipelineModel:
         raise ValueError(f"no training rows of class {absent}")
     # two numbers: a literal keeps the plan that every iteration reads free of joins
     weight = F.when(F.col("label") == 1, weights[1]).otherwise(weights[0])
-    return (estimator or weighted_logistic()).fit(train.withColumn("weight", weight))
+    model = (estimator or weighted_logistic()).fit(train.withColumn("weight", weight))
+    for stage in model.stages:
+        # a training summary holds the session, which can't go along with tasks once the session observes a write
+        if getattr(stage, "hasSummary", False):
+            stage._java_obj.setSummary(train.sparkSession.sparkContext._jvm.scala.Option.empty())
+    return model
 
 
 def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:

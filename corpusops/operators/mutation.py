@@ -262,6 +262,27 @@ def first_site_mutant(mutants: DataFrame, seed: int = SEED) -> DataFrame:
     return least.select("source_id", "row.*").select(*mutants.columns)
 
 
+def first_site_of(sources: DataFrame, seed: int = SEED) -> DataFrame:
+    """What ``first_site_mutant`` gives for all mutants of (source_id, code), chosen where they are made.
+
+    A source's kinds are tried in the order of their draws, so only the chosen mutant is ever built; no shuffle.
+    """
+
+    def chosen(source_id: int, raw: str) -> Iterator[tuple]:
+        base = _normal_form(raw)
+        if base is None:
+            return
+        tree, lines = ast.parse(base), base.split("\n")
+        kinds = [(order, kind, edits[0]) for order, (kind, edits) in enumerate(_sites(tree).items()) if edits]
+        for order, kind, (statement, edit) in sorted(kinds, key=lambda k: hashlib.md5(f"{seed}:{source_id}:{k[1]}".encode()).hexdigest()):
+            code = _mutated(tree, lines, statement, edit)
+            if code and code != base:
+                yield code, 1, source_id, kind, order, 0, edit[2] != [] or _parses(code), True
+                return
+
+    return flat_map(sources.select("source_id", "code"), chosen, MUTANT)
+
+
 def sample_mutants(mutants: DataFrame, limit: int = MAX_MUTANTS, seed: int = SEED, first_sites_only: bool = True) -> DataFrame:
     """At most ``limit`` distinct mutants per source, drawn by hash.
 

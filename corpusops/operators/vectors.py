@@ -8,12 +8,14 @@ index and queries are dealt into blocks of bounded size, and every pair of block
 from __future__ import annotations
 
 import hashlib
+import time
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
@@ -28,6 +30,8 @@ SLICE_BYTES = 32 << 20
 # distances held at once by one task
 BLOCK_CELLS = 1 << 21
 PAIR_BLOCK = 1 << 15
+# an index's versions, and the file that names the one in use; readers of tables skip such names
+VERSIONS, POINTER = "_versions", "_current"
 # rough size of a hit: four values
 HIT_BYTES = 64
 
@@ -165,23 +169,74 @@ def with_checked_vectors(df: DataFrame, dims: int, vector: str = "embedding") ->
 
 
 def build_index(chunks: DataFrame, embedder, path: str) -> int:
-    """Embed chunks and write the index table; its row count comes from the file footers.
+    """Embed chunks and write the index; returns its number of rows.
 
-    An empty corpus fails before anything is written, so an index that is there stays.
+    An empty corpus fails before anything is written, and a failing embedder before the pointer moves,
+    so an index that is there stays.
     """
+    return build_index_observed(chunks, embedder, path)["rows"]
+
+
+def build_index_observed(chunks: DataFrame, embedder, path: str) -> dict:
+    """``build_index`` with what the one pass saw: rows, characters of text, seconds and rows per second."""
     if chunks.isEmpty():
         raise ValueError("no indexable chunks")
-    save_index(embedder.embed(chunks.withColumn("content", embed_text()), "content"), path)
-    return chunks.sparkSession.read.parquet(path).count()
+    seen, began = Observation(), time.perf_counter()
+    embedded = embedder.embed(chunks.withColumn("content", embed_text()), "content")
+    told = embedded.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(F.length("content").cast("bigint")).alias("chars"))
+    save_index(told, path)
+    seconds = time.perf_counter() - began
+    return {**seen.get, "seconds": seconds, "rows_per_second": seen.get["rows"] / seconds}
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def save_index(vectors: DataFrame, path: str) -> str:
-    vectors.write.mode("overwrite").parquet(path)
+    """Write a new version of the index below ``path`` and point to it.
+
+    Each version has a folder of its own. The pointer is replaced in one rename once the version is
+    complete, so a job that fails, and a reader at work, keep the version before; older ones go.
+    """
+    spark = vectors.sparkSession
+    version = uuid.uuid4().hex
+    vectors.write.parquet(f"{path}/{VERSIONS}/{version}")
+    before = _pointed(spark, path)
+    fresh, fs = _file_system(spark, f"{path}/{POINTER}.{version}")
+    out = fs.create(fresh, True)
+    out.write(bytearray(version.encode()))
+    out.close()
+    jvm = spark.sparkContext._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(fresh), fs.makeQualified(_file_system(spark, f"{path}/{POINTER}")[0]), options)
+    for status in fs.listStatus(_file_system(spark, f"{path}/{VERSIONS}")[0]):
+        # a version that another job still writes has no success mark
+        folder = status.getPath()
+        if folder.getName() not in (version, before) and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+            fs.delete(folder, True)
     return path
 
 
+def _pointed(spark: SparkSession, path: str) -> str | None:
+    """The version an index points to."""
+    target, fs = _file_system(spark, f"{path}/{POINTER}")
+    if not fs.exists(target):
+        return None
+    stream = fs.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def load_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(require_path(spark, path, f"no index at {path}: build and save one first"))
+    """The version of the index that was last completed."""
+    require_path(spark, f"{path}/{POINTER}", f"no index at {path}: build and save one first")
+    return spark.read.parquet(f"{path}/{VERSIONS}/{_pointed(spark, path)}")
 
 
 # ---------------------------------------------------------------- search

@@ -4,18 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusops.functions import text
 from corpusops.operators import cells, chunking, classify, intervals, metrics, similarity, splits
 from corpusops.plans.corpus import _LINES
 from corpusops.plans.evaluation import SCORES, _CONFUSION, _DOCS, _holdout_cte, _kfold_cte, _rounded, _scored_cte
-from corpusops.plans.inputs import PREDS_CTE, SEARCH_CTE, class_queries, documents, knn_cte, preds, vectors
+from corpusops.plans.inputs import PREDS_CTE, SEARCH_CTE, class_queries, documents, knn_cte, preds, table, vectors
 from corpusops.plans.retrieval import DEPTH, _shown
 from corpusops.session import scratch_path
+from corpusops.sources import guards
 
 SLOTS = 64
 EPOCHS = 6
 RATE = 20.0
 # pieces between blanks that make one chunk
 PIECES = 40
+GUARDED = {"documents": "doc_id", "embeddings": "vec_id", "labels": "doc_id", "part": "p_partkey"}
 
 
 def _near(spark, sf_dir):
@@ -76,8 +79,45 @@ def cv_fold_grouping(spark, sf_dir):
     return _rounded(metrics.fold_and_pooled(folded).select("scope", "fold", "n", *SCORES), *SCORES)
 
 
+def display_figures(spark, sf_dir):
+    """Each language's share of the documents as text, and how far it lies from an equal share."""
+    held = documents(spark, sf_dir, "lang").groupBy("lang").agg(F.count("*").alias("n"))
+    total, langs = held.agg(F.sum("n").cast("double")).scalar(), held.agg(F.count("*")).scalar()
+    share = held.withColumn("share", F.col("n") / total)
+    return share.select("lang", text.percent(F.col("share")).alias("percent"), text.decimals(F.col("share") - 1 / langs, signed=True).alias("lift"))
+
+
+def guarded_tables(spark, sf_dir):
+    """What the checks at job boundaries say of each table: whether it has an id column, and rows for a filter."""
+    said = []
+    for name, column in GUARDED.items():
+        held = table(spark, sf_dir, name)
+        for guard, check in (
+            ("column", lambda: guards.require_columns(held, column)),
+            ("absent column", lambda: guards.require_columns(held.select(column), "nowhere")),
+            ("rows", lambda: guards.require_rows(held.where(F.col(column) >= 0), "no rows")),
+            ("absent rows", lambda: guards.require_rows(held.where(F.col(column) < 0), f"no rows of {name}")),
+            ("absent path", lambda: guards.require_path(spark, f"{sf_dir}/{name}.none", f"no table {name}")),
+        ):
+            try:
+                check()
+                said.append((name, guard, "passed"))
+            except (ValueError, FileNotFoundError) as problem:
+                said.append((name, guard, str(problem)))
+    return spark.createDataFrame(said, "held string, guard string, outcome string")
+
+
 # ---------------------------------------------------------------- SQL
 
+_GUARD_SQL = " UNION ALL ".join(
+    f"""SELECT '{name}' AS held, 'column' AS guard, 'passed' AS outcome
+    UNION ALL SELECT '{name}', 'absent column', 'missing column(s) [''nowhere'']; found [''{column}'']'
+    UNION ALL SELECT '{name}', 'rows', CASE WHEN count(*) FILTER ({column} >= 0) > 0 THEN 'passed' ELSE 'no rows' END FROM {name}
+    UNION ALL SELECT '{name}', 'absent rows', CASE WHEN count(*) FILTER ({column} < 0) > 0 THEN 'passed' ELSE 'no rows of {name}' END FROM {name}
+    UNION ALL SELECT '{name}', 'absent path', 'no table {name}'"""
+    for name, column in GUARDED.items()
+)
+
 _NEAR_CTE = rf"""{_DOCS}, {_holdout_cte('docs', 'source')},
 tokens AS (SELECT doc_id, split, regexp_extract_all(lower(coalesce(text, '')), '{similarity._WORD}') AS ws FROM held_out),
 sets AS (SELECT doc_id, split, CASE WHEN len(ws) = 0 THEN [] ELSE
@@ -139,6 +179,13 @@ QUERIES = {
             SELECT source, count(*) AS units, count(*) FILTER (n > 0) AS cut_units, max(n) + 1 AS most_pieces, round(avg(CAST(n > 0 AS INTEGER)), 6) AS cut_rate
             FROM counted GROUP BY source""",
     ),
+    "display_figures": (
+        display_figures,
+        """WITH n AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
+           s AS (SELECT lang, n / (sum(n) OVER ()) AS share, 1 / (count(*) OVER ()) AS equal FROM n)
+           SELECT lang, format('{:.1f}%', round(share * 100, 1)) AS percent, format('{:+.3f}', round(share - equal, 3)) AS lift FROM s""",
+    ),
+    "guarded_tables": (guarded_tables, _GUARD_SQL),
     "cv_fold_grouping": (
         cv_fold_grouping,
         f"""WITH RECURSIVE {PREDS_CTE}, {_kfold_cte('preds', 'source')},

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusops.operators import chunking
+from corpusops.operators import chunking, lateral
 from corpusops.plans.inputs import (
     FILES_CTE,
     PARTS_CTE,
@@ -113,6 +113,16 @@ def chunk_code_units(spark, sf_dir):
     return code_chunks(spark, sf_dir).drop("char_start", "char_end")
 
 
+def chunk_units_lateral(spark, sf_dir):
+    """The same chunks by a table function in SQL."""
+    lateral.register(spark)
+    files = py_files(spark, sf_dir).select("path", "text")
+    return spark.sql(
+        "SELECT u.id, u.file, u.name, u.type, u.start_line, u.end_line, u.docstring, u.code, u.ordinal FROM {files} f, LATERAL chunk_units(f.path, f.text) u",
+        files=files,
+    )
+
+
 def chunk_filter(spark, sf_dir):
     functions = chunking.filter_chunks(code_chunks(spark, sf_dir))
     return functions.select("file", "name", F.length("code").cast("bigint").alias("n_chars"))
@@ -127,7 +137,7 @@ def chunk_filter_file(spark, sf_dir):
 
 def chunk_lookup(spark, sf_dir):
     """First chunk of each name, and its length."""
-    first = chunking.first_named(code_chunks(spark, sf_dir))
+    first = chunking.first_named(durable(code_chunks(spark, sf_dir)))
     return first.select("name", "id", "start_line", "code", F.col("n_chars").cast("bigint").alias("n_chars"))
 
 
@@ -199,6 +209,10 @@ QUERIES = {
         chunk_code_units,
         f"WITH {CHUNKS_CTE} SELECT id, file, name, type, start_line, end_line, docstring, code, ordinal FROM chunks",
     ),
+    "chunk_units_lateral": (
+        chunk_units_lateral,
+        f"WITH {CHUNKS_CTE} SELECT id, file, name, type, start_line, end_line, docstring, code, ordinal FROM chunks",
+    ),
     "chunk_filter": (
         chunk_filter,
         f"WITH {CHUNKS_CTE} SELECT file, name, length(code) AS n_chars FROM chunks WHERE type = 'function'",

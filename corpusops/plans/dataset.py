@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from corpusops.operators import lateral
 from corpusops.operators import mutation as M
 from corpusops.plans.inputs import CONTENT_SQL, PARTS_CTE, RAW_SQL, TEMPLATES, raw_sources, sources, sql_text
 from corpusops.schemas import EXAMPLE
@@ -86,6 +87,13 @@ def mutants_all(spark, sf_dir):
     return M.all_mutants(sources(spark, sf_dir)).select(*_PLAIN, "parses")
 
 
+def mutants_lateral(spark, sf_dir):
+    """The same mutants by a table function in SQL."""
+    lateral.register(spark)
+    rows = spark.sql("SELECT m.* FROM {held} s, LATERAL code_mutants(s.source_id, s.code) m", held=sources(spark, sf_dir))
+    return rows.select(*_PLAIN, "parses")
+
+
 def mutants_unparsable(spark, sf_dir):
     return M.all_mutants(sources(spark, sf_dir)).where(~F.col("parses")).select(*_PLAIN)
 
@@ -103,7 +111,7 @@ def mutants_nth_site(spark, sf_dir):
 
 
 def mutants_first_site(spark, sf_dir):
-    return M.first_site_mutant(M.all_mutants(sources(spark, sf_dir))).select(*_PLAIN)
+    return M.first_site_of(sources(spark, sf_dir)).select(*_PLAIN)
 
 
 def mutants_sampled(spark, sf_dir):
@@ -167,6 +175,7 @@ QUERIES = {
             count(*) FILTER (k % 6 <> 5) AS sources FROM parts""",
     ),
     "mutants_all": (mutants_all, f"WITH {MUTANTS_CTE} SELECT source_id, mutation, site, code, parses FROM mutants"),
+    "mutants_lateral": (mutants_lateral, f"WITH {MUTANTS_CTE} SELECT source_id, mutation, site, code, parses FROM mutants"),
     "mutants_unparsable": (
         mutants_unparsable,
         f"WITH {MUTANTS_CTE} SELECT source_id, mutation, site, code FROM mutants WHERE NOT parses",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from corpusops.operators import classify, metrics, mutation, splits
@@ -15,19 +16,28 @@ SLOTS = 64
 SMOOTHINGS = {1: 0.1, 2: 1.0, 3: 10.0}
 
 
-def _held_out(rows, text):
-    """Predictions of the test side by a model of the train side."""
+def _held_out(rows, text, reload: bool = False):
+    """Predictions of the test side by a model of the train side, saved and loaded in between if asked."""
     ready = durable(classify.md5_counts(rows, text, SLOTS))
     model = classify.fit(ready.where(F.col("split") == "train"), classify.weighted_bayes())
+    if reload:
+        path = scratch_path(rows.sparkSession, "model")
+        model.write().overwrite().save(path)
+        model = PipelineModel.load(path)
     return classify.predict(model, ready.where(F.col("split") == "test"))
 
 
-def bayes_holdout_predictions(spark, sf_dir):
+def bayes_holdout_predictions(spark, sf_dir, reload=False):
     rows = splits.group_holdout(preds(spark, sf_dir, "text").drop("predicted"), "source")
-    scored = _held_out(rows, "text")
+    scored = _held_out(rows, "text", reload)
     return scored.select("doc_id", "source", "label", "predicted", F.round("confidence", 6).alias("confidence"))
 
 
+def bayes_reloaded_predictions(spark, sf_dir):
+    """The same predictions by a model that was saved and loaded."""
+    return bayes_holdout_predictions(spark, sf_dir, reload=True)
+
+
 def bayes_cv_predictions(spark, sf_dir):
     """Out-of-fold predictions, through the predictions sink and back."""
     folded = splits.group_kfold(preds(spark, sf_dir, "text").drop("predicted"), "source")
@@ -99,17 +109,17 @@ def _tuning_cte() -> str:
     return f"history AS ({rows})"
 
 
+_HELD_OUT_SQL = f"""WITH {PREDS_CTE}, {_holdout_cte('preds', 'source')}, {_bayes_cte('held_out', 'doc_id', 'text', 'split', "part = 'test'")}
+            SELECT doc_id, source, label, s.predicted, round(confidence, 6) AS confidence FROM held_out JOIN said s ON id = doc_id"""
+
 QUERIES = {
     "tuning_history": (tuning_history, f"WITH {_tuning_cte()} SELECT * FROM history"),
     "best_checkpoint_fit": (
         best_checkpoint_fit,
         f"WITH {_tuning_cte()} SELECT epoch, eval_balanced_accuracy FROM history ORDER BY eval_balanced_accuracy DESC, epoch LIMIT 1",
     ),
-    "bayes_holdout_predictions": (
-        bayes_holdout_predictions,
-        f"""WITH {PREDS_CTE}, {_holdout_cte('preds', 'source')}, {_bayes_cte('held_out', 'doc_id', 'text', 'split', "part = 'test'")}
-            SELECT doc_id, source, label, s.predicted, round(confidence, 6) AS confidence FROM held_out JOIN said s ON id = doc_id""",
-    ),
+    "bayes_holdout_predictions": (bayes_holdout_predictions, _HELD_OUT_SQL),
+    "bayes_reloaded_predictions": (bayes_reloaded_predictions, _HELD_OUT_SQL),
     "bayes_cv_predictions": (
         bayes_cv_predictions,
         f"""WITH RECURSIVE {PREDS_CTE}, {_kfold_cte('preds', 'source')}, {_bayes_cte('folded', 'doc_id', 'text', 'fold')}

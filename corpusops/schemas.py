@@ -11,6 +11,8 @@ _S, _I, _L, _B = T.StringType(), T.IntegerType(), T.LongType(), T.BooleanType()
 
 FILE = _row(("path", _S, False), ("content", T.BinaryType(), True))
 
+LISTED = _row(("path", _S, False), ("size", _L, True))
+
 CHUNK = _row(
     ("id", _S, True),
     ("file", _S, True),

@@ -1,9 +1,10 @@
-"""Repository scan as a Python data source, and the same rules on a (path, content) table.
+"""Repository scan in two steps, and the same rules on a (path, content) table.
 
 Spark's own file readers skip every path part that starts with ``_`` or ``.``; a corpus of
-Python packages needs ``__init__.py``, so the listing is done here. The driver opens only
-enough folders to have work for the executors; each executor lists its own subtrees and reads
-the bytes. A folder's own files are dealt over several readers by a hash of the file name.
+Python packages needs ``__init__.py``, so the listing is done here, by a Python data source. The
+driver opens only enough folders to have work for the executors; each executor lists its own
+subtrees. Paths and sizes are then dealt over tasks of about equal bytes, which read the files, so it
+does not matter how the files lie in folders.
 """
 
 from __future__ import annotations
@@ -12,17 +13,25 @@ import os
 import zlib
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from corpusops.operators.skew import salted_left_join
-from corpusops.schemas import FILE
+from corpusops.schemas import FILE, LISTED
+from corpusops.session import durable
 
 # Folder names a scan skips unless the caller names others, and the file suffix.
 IGNORED_DIRS = (".git", "__pycache__", "venv", ".venv", "node_modules", ".mypy_cache")
 SUFFIX = ".py"
 
+# bytes that one task of the second step reads, about, and that it hands over at once
+TASK_BYTES = 64 << 20
+FLUSH_BYTES = 8 << 20
+# requested paths that are broadcast, in bytes
+ASKED_BYTES = 8 << 20
+
 
 class _Share(InputPartition):
     """One folder, with or without what lies below it, and one share of its own files."""
@@ -75,7 +84,14 @@ class RepoReader(DataSourceReader):
                 mine = partition.shares == 1 or zlib.crc32(os.fsencode(name)) % partition.shares == partition.share
                 if mine and name.endswith(self.suffix):
                     path = os.path.join(folder, name)
-                    yield os.path.relpath(path, self.root), _bytes_or_none(path)
+                    yield os.path.relpath(path, self.root), _size_or_none(path)
+
+
+def _size_or_none(path: str) -> int | None:
+    try:
+        return os.stat(path).st_size
+    except OSError:
+        return None
 
 
 def _bytes_or_none(path: str) -> bytes | None:
@@ -87,14 +103,14 @@ def _bytes_or_none(path: str) -> bytes | None:
 
 
 class RepoFiles(DataSource):
-    """``spark.read.format("repo_files").load(root)``; options ``ignore`` (comma list), ``suffix``, ``width``."""
+    """(path, size) by ``spark.read.format("repo_files").load(root)``; options ``ignore`` (comma list), ``suffix``, ``width``."""
 
     @classmethod
     def name(cls) -> str:
         return "repo_files"
 
     def schema(self):
-        return FILE
+        return LISTED
 
     def reader(self, schema) -> RepoReader:
         ignore = self.options.get("ignore")
@@ -107,8 +123,8 @@ class RepoFiles(DataSource):
         )
 
 
-def scan_repo(spark: SparkSession, root: str, ignore_dirs=None, suffix: str = SUFFIX) -> DataFrame:
-    """(path relative to ``root``, content bytes) of every matching file on a mounted filesystem."""
+def list_repo(spark: SparkSession, root: str, ignore_dirs=None, suffix: str = SUFFIX) -> DataFrame:
+    """(path relative to ``root``, size) of every matching file on a mounted filesystem; no file is opened."""
     if not os.path.isdir(root):
         raise FileNotFoundError(f"no folder {root}")
     spark.dataSource.register(RepoFiles)
@@ -119,6 +135,40 @@ def scan_repo(spark: SparkSession, root: str, ignore_dirs=None, suffix: str = SU
     return reader.load(root)
 
 
+def read_listed(listed: DataFrame, root: str, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """(path, content) of listed files, each task reading about ``task_bytes``.
+
+    A file is dealt by a hash of its path to one of as many bins as the sizes need; no folder is a task
+    of its own. A file that can't be read has no content.
+    """
+    spark = listed.sparkSession
+    total = listed.agg(F.sum("size")).first()[0] or 0
+    bins = max(spark.sparkContext.defaultParallelism, -(-total // task_bytes))
+    base = os.path.realpath(root)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, contents, held = [], [], 0
+            for path in batch.column("path").to_pylist():
+                content = _bytes_or_none(os.path.join(base, path))
+                paths.append(path)
+                contents.append(content)
+                held += len(content or b"")
+                if held >= FLUSH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(contents, pa.binary())], ["path", "content"])
+                    paths, contents, held = [], [], 0
+            if paths:
+                yield pa.RecordBatch.from_arrays([pa.array(paths), pa.array(contents, pa.binary())], ["path", "content"])
+
+    return listed.select("path").repartition(bins, "path").mapInArrow(read, FILE)
+
+
+def scan_repo(spark: SparkSession, root: str, ignore_dirs=None, suffix: str = SUFFIX) -> DataFrame:
+    """(path relative to ``root``, content bytes) of every matching file on a mounted filesystem."""
+    # the listing is written, as it is read twice: for its bytes, and to deal it
+    return read_listed(durable(list_repo(spark, root, ignore_dirs, suffix)), root)
+
+
 def in_ignored_dir(path: Column, ignore_dirs=IGNORED_DIRS) -> Column:
     """True when a folder on the path (never the file name) carries an ignored name."""
     parts = F.split(path, "/")
@@ -151,13 +201,18 @@ def decode_files(files: DataFrame) -> DataFrame:
 def lookup_files(requests: DataFrame, files: DataFrame) -> DataFrame:
     """Content of each requested path, or a message: the path is not there, or its file has no readable text.
 
-    Many requests may ask for one path, so the join is salted. A path listed twice counts once.
+    Many requests may ask for one path, so the join is salted. A path listed twice counts once. Only
+    files that are asked for move; few requests go to the files, so that not even these are shuffled
+    before they are found.
     """
     # The not-found message and the head of the read-error message.
     missing = F.format_string("Error: %s not found in repo.", F.col("path"))
     unread = F.lit("Error reading file: ")
     reject = F.col("reject") if "reject" in files.columns else F.lit(None).cast("string")
-    known = files.groupBy("path").agg(F.min("text").alias("text"), F.min(reject).alias("_reject")).withColumn("found", F.lit(True))
+    asked = requests.where(F.col("path").isNotNull()).select("path").distinct()
+    if (requests.select(F.sum(F.octet_length("path"))).first()[0] or 0) <= ASKED_BYTES:
+        asked = F.broadcast(asked)
+    known = files.join(asked, "path", "left_semi").groupBy("path").agg(F.min("text").alias("text"), F.min(reject).alias("_reject")).withColumn("found", F.lit(True))
     return salted_left_join(requests, known, "path").select(
         *requests.columns,
         F.coalesce("found", F.lit(False)).alias("found"),
