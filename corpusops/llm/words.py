@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache, cached_property
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +26,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-@cache
+class Held(dict):
+    """What a process has computed; a pickled one arrives empty, as functions that travel by value take their tables along."""
+
+    def __reduce__(self):
+        return dict, ()
+
+
+_HELD = Held()
+
+
 def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     def run(value: int) -> np.ndarray:
         steps = np.full(size, np.uint64(value))
@@ -40,9 +49,10 @@ def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base modulo 2**64, and those of its inverse."""
     held = 1 << max(12, (size - 1).bit_length())
     if held > 8 * SLICE_BYTES:
-        forward, back = _powers.__wrapped__(base, size)
-    else:
-        forward, back = _powers(base, held)
+        return _powers(base, size)
+    if (base, held) not in _HELD:
+        _HELD[base, held] = _powers(base, held)
+    forward, back = _HELD[base, held]
     return forward[:size], back[:size]
 
 
