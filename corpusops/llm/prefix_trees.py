@@ -111,7 +111,7 @@ def block_marks(rows: DataFrame, window: int, buckets: int) -> DataFrame:
 
 
 def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, marks): windows of ``min_words`` words that also start in a document with a smaller id."""
+    """(id, tag, marks): windows of ``min_words`` words that also start in a document with a smaller id."""
     buckets, n_docs = bucket_count(rows.sparkSession, rows)
     k = min(ANCHOR_WORDS, min_words)
     lengths = tuple(x for x in PREFIX_WORDS if x < min_words)
@@ -123,7 +123,7 @@ def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         winners = Winners(spread)
         for batch, texts in slices(batches, "text"):
             windows, _, h = anchors_of(texts, min_words, k)
-            settled = flags(texts.first_word, batch.column("marks"), batch.column("tag").to_pylist(), False, min_words)
+            settled = flags(texts.first_word, batch.column("marks"), False, min_words)
             windows, h = windows[~settled[windows]], h[~settled[windows]]
             at = windows[member(h, batch.column("anchors").to_pylist(), texts.doc[windows])]
             if not len(at):
@@ -147,9 +147,9 @@ def repeat_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     # all columns go into each pass, so that the joins share one shuffle of the texts
     settled = block_marks(rows, min_words, buckets)
-    once = rows.join(gathered(settled, buckets), "id", "left")
+    once = rows.join(gathered(settled, buckets), ["id", "tag"], "left")
     anchors = repeated_anchors(once.select("id", "tag", "text", "rest", "marks"), min_words, k, buckets)
-    chosen = once.join(anchors, "id").select("id", "tag", "text", "rest", "marks", "anchors")
+    chosen = once.join(anchors, ["id", "tag"]).select("id", "tag", "text", "rest", "marks", "anchors")
     dealt = chosen.mapInArrow(suffixes, WINNERS_SCHEMA).repartition(buckets, "bucket")
     return gathered(settled.union(dealt.mapInArrow(partial(losers, spread=spread), MARKS_SCHEMA)), buckets)
 

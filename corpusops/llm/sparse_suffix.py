@@ -29,6 +29,7 @@ from corpusops.llm.repeats import (
     keyed,
     mark,
     member,
+    of_bytes,
     repeated_anchors,
     with_text,
     without_words,
@@ -79,7 +80,7 @@ def _neighbours(values: list[list], order: list[int]) -> list[int]:
     return best
 
 
-def passages_lost(entries: list[tuple[list, list, int, int, int]], size: int) -> Iterator[tuple[int, int, int]]:
+def passages_lost(entries: list[tuple[list, list, int, int, list]], size: int) -> Iterator[tuple[int, list]]:
     """(id, mark) of the passages that an entry shares with a smaller id.
 
     An entry is (words left of the anchor, words from it on, least reach to the left, id, mark).
@@ -98,11 +99,11 @@ def passages_lost(entries: list[tuple[list, list, int, int, int]], size: int) ->
             own.append((reach, passage))
         seen.append(own)
     for (before, _, _, i, m), own in zip(entries, seen):
-        start, tag = m & 0xFFFFFFFF, m >> 48
+        tag, start = m[0], m[1] & 0xFFFFFFFF
         run: list[int] = []
         for reach in [r for r, passage in own if least[passage] < i] + [-2]:
             if run and reach != run[-1] + 1:
-                yield i, mark(tag, start + len(before) - run[-1], run[-1] - run[0] + size)
+                yield i, mark(tag, start + len(before) - run[-1], run[-1] - run[0] + size).tolist()
                 run = []
             run.append(reach)
 
@@ -114,7 +115,7 @@ def _suffix(key: bytes) -> bytes:
 
 
 def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, marks): passages of ``min_words`` words that also start in a document with a smaller id."""
+    """(id, tag, marks): passages of ``min_words`` words that also start in a document with a smaller id."""
     buckets, n_docs = bucket_count(rows.sparkSession, rows)
     k = max(1, min(ANCHOR_WORDS, min_words // 2))
     spread = 1 << max(1, (buckets - 1).bit_length())
@@ -166,17 +167,17 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             for bucket, *blobs in zip(*(c.to_pylist() for c in batch.columns)):
                 lost_ids, lost = map(unpress, blobs[3:])
                 if lost:
-                    yield from marks.add(np.frombuffer(lost_ids, np.int64), np.frombuffer(lost, np.int64))
+                    yield from marks.add(of_bytes(lost_ids), of_bytes(lost, 2))
                 # one bucket at a time is unpacked
                 held.setdefault(bucket, []).append(blobs[:3])
         for bucket in list(held):
             best: dict[bytes, list] = {}
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, list]] = []
             for blobs in held.pop(bucket):
                 keys, ids, found = map(unpress, blobs)
                 if not ids:
                     continue
-                for key, i, m in zip(keys.split(b"\n"), np.frombuffer(ids, np.int64).tolist(), np.frombuffer(found, np.int64).tolist()):
+                for key, i, m in zip(keys.split(b"\n"), of_bytes(ids).tolist(), of_bytes(found, 2).tolist()):
                     # the same words all round: only the smallest document need be compared further
                     kept = best.setdefault(key, [i])
                     if i < kept[0]:
@@ -205,7 +206,7 @@ def passage_marks(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     # all columns go into each pass, so that the joins share one shuffle of the texts
     anchors = repeated_anchors(rows, min_words, k, buckets)
-    chosen = rows.join(anchors, "id").select("id", "tag", "text", "rest", "anchors")
+    chosen = rows.join(anchors, ["id", "tag"]).select("id", "tag", "text", "rest", "anchors")
     dealt = chosen.mapInArrow(select, WINNERS_SCHEMA).repartition(buckets, "bucket")
     return gathered(dealt.mapInArrow(compare, MARKS_SCHEMA), buckets)
 
