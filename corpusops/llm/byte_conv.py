@@ -14,7 +14,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from corpusops.llm.words import slices
 
@@ -22,8 +21,9 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
 EMBEDDING = 6
-# windows that train the network: of each language the first so many documents by a hash, and one window of each
+# what trains the network: of each language the first so many texts by a hash, and of each text so many windows
 FIT_DOCS = 1000
+FIT_WINDOWS = 2
 PASSES = 8
 BATCH = 64
 UNKNOWN = "und"
@@ -118,24 +118,39 @@ def cut_windows(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return out.reshape(-1, WINDOW), owner
 
 
-def fitted(docs: DataFrame, trains: Column, doc_id: str, text: str, lang: str) -> Network | None:
-    """The network trained on rows where ``trains`` holds; None without any."""
-    rows = docs.where(trains & F.col(lang).isNotNull() & (F.octet_length(text) > 0))
-    draw = F.xxhash64(F.col(doc_id), F.lit(11))
-    drawn = rows.select(F.col(lang).alias("lang"), draw.alias("draw"), F.substring(text, 1, 4 * WINDOW).alias("text"))
-    ranked = drawn.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("draw"))).where(F.col("nth") <= FIT_DOCS)
-    chosen = ranked.orderBy("nth", "lang").collect()
-    if not chosen:
+def fitted(docs: DataFrame, trains: Column, text: str, lang: str) -> Network | None:
+    """The network trained on rows where ``trains`` holds; None without any.
+
+    Windows lie anywhere in a text, by hashes of it, so what all texts begin with teaches nothing.
+    The driver gets at most some ``2 * FIT_DOCS`` rows of each language, and no more of a text than its windows.
+    """
+    value, name = F.col(f"`{text}`"), F.col(f"`{lang}`")
+    rows = docs.where(trains & name.isNotNull() & (F.octet_length(value) > 0)).select(name.alias("lang"), value.alias("text"))
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not counts:
         return None
-    languages = sorted({r.lang for r in chosen})
+    languages = sorted(counts)
+    # a draw below its language's share is taken: as many rows as the network has outputs are sent out
+    shares = rows.sparkSession.createDataFrame([(x, min(1.0, 2 * FIT_DOCS / n)) for x, n in counts.items()], "lang string, share double")
+    drawn = rows.withColumn("draw", F.shiftrightunsigned(F.xxhash64("text", F.lit(11)), 11))
+    taken = drawn.join(F.broadcast(shares), "lang").where(F.col("draw") / float(1 << 53) <= F.col("share"))
+    room = F.greatest(F.char_length("text") - WINDOW, F.lit(0)) + 1
+    at = [F.pmod(F.xxhash64("text", F.lit(i)), room).cast("int") + 1 for i in range(FIT_WINDOWS)]
+    cut = F.array_distinct(F.array(*[F.substr(F.col("text"), a, F.lit(WINDOW)) for a in at]))
+    # of copies one
+    found = taken.select("lang", "draw", cut.alias("windows")).distinct().collect()
+    chosen: dict[str, list] = {}
+    for r in sorted(found, key=lambda r: (r.draw, r.windows)):
+        chosen.setdefault(r.lang, []).append(r.windows)
     place = {x: i for i, x in enumerate(languages)}
     windows, labels = [], []
-    for r in chosen:
-        data = np.frombuffer(r.text.encode(), np.uint8)
-        cut, _ = cut_windows(data, np.array([0, len(data)]))
-        # full windows teach more, but short texts must be known too
-        windows.extend(cut[:2])
-        labels.extend([place[r.lang]] * len(cut[:2]))
+    for nth in range(FIT_DOCS):
+        for name, texts in sorted(chosen.items()):
+            for piece in texts[nth] if nth < len(texts) else ():
+                # characters of several bytes make a piece longer than a window
+                data = np.frombuffer(piece.encode(), np.uint8)[:WINDOW]
+                windows.append(cut_windows(data, np.array([0, len(data)]))[0][0])
+                labels.append(place[name])
     return train(np.stack(windows), np.array(labels), languages)
 
 
@@ -143,12 +158,15 @@ def predict(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
     """(doc_id, held_out, lang_pred, score) per row.
 
     Training rows are those with a language where ``held_out`` is false; the fit takes at most
-    ``FIT_DOCS`` of each language. A text without letters, empty or null, is ``und`` with score 0, as
+    ``FIT_DOCS`` distinct texts of each language and ``FIT_WINDOWS`` windows of each. A text without letters, empty or null, is ``und`` with score 0, as
     is every text if nothing could be learned. Predictions see the text only; repeated rows are
-    predicted alike; rows without an id are kept; an empty table gives no rows.
+    predicted alike, and of languages that are equally likely the first by name is named; rows without
+    an id are kept; an empty table gives no rows.
     """
-    net = fitted(docs, ~F.coalesce(held_out, F.lit(True)), doc_id, text, lang)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    net = fitted(docs, ~F.coalesce(held_out, F.lit(True)), text, lang)
+    rows = docs.select(
+        F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(True)).alias("held_out"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, "text", 1 << 18):
