@@ -16,13 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from corpusops.llm.words import Texts, mix, slices
+from corpusops.llm.words import WORD_BASE, Texts, mix, range_hash, slices
 
 ABSTAIN, CLEAN, JUNK = 0, 1, 2
 DIMENSIONS = 1 << 14
-# documents that train the scorer, at most so many of either kind, and words of each that are counted there
+# distinct texts that train the scorer, at most so many of either kind
 FIT_DOCS = 1024
-FIT_WORDS = 4096
 EM_ROUNDS = 200
 # names of the votes, in the order of their places in a pattern
 LABELLERS = ("symbols", "capitals", "echoes", "variety", "tails", "word_length", "letters", "sentences")
@@ -108,7 +107,7 @@ def fit_votes(patterns: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS)
     return 1 - truth[:, 0], given
 
 
-def features(texts: Texts, words: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """(word, feature) indexes: for each word its hash, its shape, its last two bytes, and whether it echoes the word before."""
     h, data = texts.word_hash, texts.data
     if not len(h):
@@ -123,20 +122,17 @@ def features(texts: Texts, words: np.ndarray | None = None) -> tuple[np.ndarray,
     echo[1:] = (h[1:] == h[:-1]) & (texts.doc[1:] == texts.doc[:-1])
     every = np.stack([h, shape, tail, echo], 1) ^ np.array([0, 1, 2, 3], np.uint64) * np.uint64(0xA24BAED4963EE407)
     hashed = (mix(every) % np.uint64(DIMENSIONS)).astype(np.int64)
-    at = np.arange(len(h))
-    if words is not None:
-        at, hashed = at[words], hashed[words]
-    return np.repeat(at, 4), hashed.ravel()
-
-
-def fit_scorer(docs: list[np.ndarray], junk: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> tuple[np.ndarray, float]:
-    """Logistic weights over feature shares, for soft labels; full gradients with momentum scaled per weight."""
-    index = np.concatenate(docs) if docs else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
-    value = 1 / np.maximum(1, np.array([len(d) for d in docs], float))[row] if len(docs) else index.astype(float)
-    pair, inverse = np.unique(row * DIMENSIONS + index, return_inverse=True)
-    value = np.bincount(inverse, value, len(pair))
-    row, index = pair // DIMENSIONS, pair % DIMENSIONS
+    return np.repeat(np.arange(len(h)), 4), hashed.ravel()
+
+
+def fit_scorer(docs: list[tuple[np.ndarray, np.ndarray]], junk: np.ndarray, rounds: int = 300, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Logistic weights over feature shares, for soft labels; full gradients with momentum scaled per weight.
+
+    A document is its features and how often it has each.
+    """
+    index = np.concatenate([d for d, _ in docs]) if docs else np.zeros(0, np.int64)
+    row = np.repeat(np.arange(len(docs)), [len(d) for d, _ in docs])
+    value = np.concatenate([n / max(1, n.sum()) for _, n in docs]) if docs else np.zeros(0)
     weights, bias = np.zeros(DIMENSIONS), 0.0
     m, v = np.zeros(DIMENSIONS + 1), np.zeros(DIMENSIONS + 1)
     for t in range(1, rounds + 1):
@@ -159,8 +155,9 @@ def scored(docs: DataFrame, text: str = "text", fit_docs: int = FIT_DOCS) -> Dat
 
     Null and empty texts get no votes, so they share the corpus's overall chance through the scorer's
     bias; they are never rejected. Repeated rows score alike; an empty table gives no rows. Labels,
-    ids and other columns are not looked at. The scorer is fitted on at most ``fit_docs`` documents
-    of either kind, the first by a hash of the text; patterns are counted over all documents.
+    ids and other columns are not looked at. The scorer is fitted on at most ``fit_docs`` distinct
+    texts of either kind, whole, the first by a hash of all their words; patterns are counted over all
+    documents. For a text with words the scorer alone decides; the votes decide if they name one kind only.
     """
     rows = _rows(docs, text)
     base = 3 ** np.arange(len(LABELLERS))
@@ -185,25 +182,30 @@ def scored(docs: DataFrame, text: str = "text", fit_docs: int = FIT_DOCS) -> Dat
         for _, texts in slices(batches, "text"):
             n = len(texts.offsets) - 1
             chance = junk[np.searchsorted(codes, votes(texts) @ base)]
-            head = np.minimum(np.diff(texts.first_word), 64)
-            key = texts.word_hash if len(texts.starts) else np.zeros(1, np.uint64)
-            sums = np.concatenate([[np.uint64(0)], np.cumsum(key, dtype=np.uint64)])
-            draw = mix(sums[texts.first_word[:-1] + head] - sums[texts.first_word[:-1]])
+            # by all words of the text, so that texts which begin alike are drawn apart
+            draw = range_hash(texts.word_hash, WORD_BASE, texts.first_word[:-1], texts.first_word[1:])
             kind = (chance > 0.5).astype(int)
-            taken = np.flatnonzero((draw / 2.0**64 <= limits[kind]) & (head > 0))
-            word = np.arange(len(texts.starts))
-            near = word - texts.first_word[texts.doc] < FIT_WORDS
-            at, feature = features(texts, near & np.isin(texts.doc, taken))
-            owner = texts.doc[at]
-            cuts = np.searchsorted(owner, np.arange(n + 1))
-            lists = [feature[cuts[j] : cuts[j + 1]].astype(np.int16).tobytes() for j in taken]
+            taken = np.flatnonzero((draw / 2.0**64 <= limits[kind]) & (np.diff(texts.first_word) > 0))
+            taken = taken[np.unique(draw[taken], return_index=True)[1]]
+            if not len(taken):
+                continue
+            at, feature = features(texts)
+            cuts = np.searchsorted(texts.doc[at], np.arange(n + 1))
+            # at most DIMENSIONS numbers, however long the text
+            told = [np.unique(feature[cuts[j] : cuts[j + 1]], return_counts=True) for j in taken]
+            lists = [[f.astype(np.int16).tobytes(), c.astype(np.int64).tobytes()] for f, c in told]
+            columns = list(zip(*lists))
             yield pa.RecordBatch.from_arrays(
-                [pa.array((draw[taken] >> np.uint64(1)).astype(np.int64)), pa.array(chance[taken]), pa.array(lists, pa.binary())], ["draw", "junk", "features"]
+                [pa.array((draw[taken] >> np.uint64(1)).astype(np.int64)), pa.array(chance[taken]), *(pa.array(c, pa.binary()) for c in columns)],
+                ["draw", "junk", "features", "counts"],
             )
 
-    drawn = rows.select("text").mapInArrow(sample, "draw long, junk double, features binary")
+    # of copies one row travels
+    drawn = rows.select("text").mapInArrow(sample, "draw long, junk double, features binary, counts binary").distinct()
     chosen = [r for kind in (F.col("junk") > 0.5, F.col("junk") <= 0.5) for r in drawn.where(kind).orderBy("draw", "features").limit(fit_docs).collect()]
-    weights, bias = fit_scorer([np.frombuffer(r.features, np.int16).astype(np.int64) for r in chosen], np.array([r.junk for r in chosen]))
+    weights, bias = fit_scorer(
+        [(np.frombuffer(r.features, np.int16).astype(np.int64), np.frombuffer(r.counts, np.int64)) for r in chosen], np.array([r.junk for r in chosen])
+    )
     one_sided = not any(r.junk > 0.5 for r in chosen) or not any(r.junk <= 0.5 for r in chosen)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
