@@ -8,6 +8,8 @@ resolved by exact scores and ids.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -121,13 +123,18 @@ def top_k(
     and rows without an id, take no part; vectors meet those of their own length. A row is no
     candidate for a query with its own id. Rows that repeat an id are candidates each; a query id
     that repeats is asked once, with its least vector. Fewer candidates than k are all returned; an
-    empty table gives no rows. Sums must fit in 64 bits.
+    empty table gives no rows. Components whose products could sum to more than 64 bits hold end the job.
     """
     fit = rows.where(usable(F.col(vector)) & F.col(vec_id).isNotNull() & (F.size(vector) > 0))
     whole = fit.select(
         F.col(vec_id).cast("long").alias("id"), F.transform(vector, lambda x: F.floor(scale * x.cast("double"))).alias("v"), is_query.alias("asks")
     )
-    n, asked = whole.agg(F.count("*"), F.count_if("asks")).first()
+    # taken before the floor, which would keep what is too large within 64 bits
+    size = F.array_max(F.transform(vector, lambda x: F.abs(scale * x.cast("double")) + 1))
+    n, asked, largest, longest = fit.agg(F.count("*"), F.count_if(is_query), F.max(size), F.max(F.size(vector))).first()
+    # the index holds differences of two components
+    if n and largest > math.isqrt((1 << 62) // longest) / 2:
+        raise ValueError(f"components to {largest / scale:g} are too large for inner products in 64 bits")
     row_blocks, query_blocks = max(1, -(-n // ROW_BLOCK)), max(1, -(-asked // QUERY_BLOCK))
     # every row block meets every block of the stated query set
     blocks = whole.select(
