@@ -72,6 +72,12 @@ def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def _whole_scale(vectors: np.ndarray) -> np.ndarray:
+    """Each row times a power of two that brings its largest component near one, so that no square over- or underflows; cosines stay as they are."""
+    _, power = np.frexp(np.abs(vectors).max(axis=1, initial=0))
+    return np.ldexp(vectors, -power[:, None])
+
+
 def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", curves: int = CURVES) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found by cosine, ties to smaller ids.
 
@@ -81,8 +87,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
     id that repeats is asked once, with its least vector. All candidates are returned if there are
     fewer than k; an empty table gives no rows.
     """
-    norm = F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    fit = rows.where(usable(F.col(vector)) & F.col(vec_id).isNotNull() & (norm > 0))
+    fit = rows.where(usable(F.col(vector)) & F.col(vec_id).isNotNull() & F.exists(vector, lambda x: x != 0))
     whole = fit.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).alias("v"), is_query.alias("asks"))
     n = max(1, whole.count())
     window = max(LEAST_WINDOW, int(np.ceil(WINDOW_SHARE * n)))
@@ -96,7 +101,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
             sizes = np.diff(batch.column("v").offsets.to_numpy())
             for size in np.unique(sizes):
                 some = batch.filter(pa.array(sizes == size))
-                unit = _matrix(some.column("v"))
+                unit = _whole_scale(_matrix(some.column("v")))
                 unit /= np.linalg.norm(unit, axis=1)[:, None]
                 for curve in range(curves):
                     key = curve_keys(unit, curve).astype(np.int64)
@@ -132,11 +137,11 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         found: list[tuple] = []
         if left.num_rows and right.num_rows:
-            rows, ids, at = _matrix(left.column("v")), left.column("id").to_numpy(), left.column("at").to_numpy()
+            rows, ids, at = _whole_scale(_matrix(left.column("v"))), left.column("id").to_numpy(), left.column("at").to_numpy()
             length = np.sqrt((rows * rows).sum(axis=1))
             for low in range(0, right.num_rows, 256):
                 some = right.slice(low, 256)
-                queries, own, place = _matrix(some.column("q_v")), some.column("q_id").to_numpy(), some.column("q_at").to_numpy()
+                queries, own, place = _whole_scale(_matrix(some.column("q_v"))), some.column("q_id").to_numpy(), some.column("q_at").to_numpy()
                 rough = queries @ (rows / length[:, None]).T
                 rough[(np.abs(place[:, None] - at) > window) | (own[:, None] == ids)] = -np.inf
                 for j in range(len(own)):
