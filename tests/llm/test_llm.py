@@ -220,7 +220,7 @@ def test_languages(spark):
 def test_every_language_is_learned(spark):
     names = [f"l{i:03}" for i in range(100)]
     table = spark.createDataFrame([(i, f"{x} {x}", x) for i, x in enumerate(names)], "doc_id long, text string, lang string")
-    assert byte_conv.fitted(table, F.lit(True), "doc_id", "text", "lang").languages == names
+    assert byte_conv.fitted(table, F.lit(True), "text", "lang").languages == names
 
 
 def test_quality(spark, docs):
