@@ -56,8 +56,11 @@ def _prefixes(shingles: Column, common: np.ndarray) -> Column:
 
 
 def _may_reach(size_a: str, at_a: str, size_b: str, at_b: str) -> Column:
-    """Whether two sets that share the shingle at these places can be similar, by what lies before and behind it."""
-    most = F.least(at_a, at_b) + F.least(F.col(size_a) - F.col(at_a), F.col(size_b) - F.col(at_b))
+    """Whether two sets can be similar if the shingle at these places is the first they share.
+
+    Sets meet at the first one too, so what this turns down elsewhere is not lost.
+    """
+    most = F.least(F.col(size_a) - F.col(at_a), F.col(size_b) - F.col(at_b))
     return (SHARED + OF) * most >= SHARED * (F.col(size_a) + F.col(size_b))
 
 

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from corpusops.functions import text
 from corpusops.operators import cells, chunking, classify, intervals, metrics, similarity, splits
+from corpusops.plans import evaluation
 from corpusops.plans.corpus import _LINES
+from corpusops.plans.dataset import EXAMPLES_CTE
 from corpusops.plans.evaluation import SCORES, _CONFUSION, _DOCS, _holdout_cte, _kfold_cte, _rounded, _scored_cte
-from corpusops.plans.inputs import PREDS_CTE, SEARCH_CTE, class_queries, documents, knn_cte, preds, table, vectors
+from corpusops.plans.inputs import PARTS_CTE, PREDS_CTE, SEARCH_CTE, class_queries, documents, knn_cte, preds, table, vectors
 from corpusops.plans.retrieval import DEPTH, _shown
 from corpusops.session import scratch_path
 from corpusops.sources import guards
@@ -107,6 +109,32 @@ def guarded_tables(spark, sf_dir):
     return spark.createDataFrame(said, "held string, guard string, outcome string")
 
 
+def cv_predictions_keys(spark, sf_dir):
+    """What any out-of-fold model must give: every labelled document once, in the fold that did not train on it."""
+    scored = evaluation.cv_predictions(spark, sf_dir)
+    follows = (F.col("correct") == (F.col("label") == F.col("predicted"))).alias("follows")
+    return scored.select("doc_id", "label", "fold", F.col("predicted").isin(0, 1).alias("is_class"), follows)
+
+
+def classifier_fit_predict_keys(spark, sf_dir):
+    """Every labelled document of the held-out sources once."""
+    scored = evaluation.classifier_fit_predict(spark, sf_dir)
+    in_range = F.col("confidence").between(0.5, 1.0).alias("in_range")
+    return scored.select("doc_id", "label", F.col("predicted").isin(0, 1).alias("is_class"), in_range)
+
+
+def code_classifier_totals(spark, sf_dir):
+    """Examples per kind of defect on the held-out sources, whatever the model says of them."""
+    return evaluation.code_classifier_report(spark, sf_dir).select("category", "total", F.col("correct").between(0, F.col("total")).alias("in_range"))
+
+
+def fresh_code_keys(spark, sf_dir):
+    """Every held-out source once, with the name it should have and a mark that follows from the name it got."""
+    scored = evaluation.fresh_code_report(spark, sf_dir)
+    follows = (F.col("mark") == F.when(F.col("predicted_name") == F.col("expected_name"), "PASS").otherwise("FAIL")).alias("follows")
+    return scored.select("source_id", "expected_name", follows)
+
+
 # ---------------------------------------------------------------- SQL
 
 _GUARD_SQL = " UNION ALL ".join(
@@ -179,6 +207,24 @@ QUERIES = {
             SELECT source, count(*) AS units, count(*) FILTER (n > 0) AS cut_units, max(n) + 1 AS most_pieces, round(avg(CAST(n > 0 AS INTEGER)), 6) AS cut_rate
             FROM counted GROUP BY source""",
     ),
+    "cv_predictions_keys": (
+        cv_predictions_keys,
+        f"WITH RECURSIVE {PREDS_CTE}, {_kfold_cte('preds', 'source')} SELECT doc_id, label, fold, true AS is_class, true AS follows FROM folded",
+    ),
+    "classifier_fit_predict_keys": (
+        classifier_fit_predict_keys,
+        f"WITH {PREDS_CTE}, {_holdout_cte('preds', 'source')} SELECT doc_id, label, true AS is_class, true AS in_range FROM held_out WHERE split = 'test'",
+    ),
+    "code_classifier_totals": (
+        code_classifier_totals,
+        f"""WITH {EXAMPLES_CTE}, {_holdout_cte('examples', 'source_id')}
+            SELECT mutation AS category, count(*) AS total, true AS in_range FROM held_out WHERE split = 'test' GROUP BY mutation""",
+    ),
+    "fresh_code_keys": (
+        fresh_code_keys,
+        f"""WITH {PARTS_CTE}, files AS (SELECT k AS source_id FROM parts), {_holdout_cte('files', 'source_id')}
+            SELECT source_id, 'clean' AS expected_name, true AS follows FROM held_out WHERE split = 'test'""",
+    ),
     "display_figures": (
         display_figures,
         """WITH n AS (SELECT lang, count(*) AS n FROM documents GROUP BY lang),
