@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from corpusops.operators.vectors import DEFAULT_K, SLICE_BYTES, _best_of, _finite, _matrix, search
+from corpusops.operators.vectors import DEFAULT_K, SLICE_BYTES, _best_of, _finite, _matrix, current_version, publish, search
 from corpusops.session import durable
-from corpusops.sources.guards import require_path
 
 CELLS = 64
 ROUNDS = 10
@@ -56,7 +55,17 @@ def _distances(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 def save_cells(index: DataFrame, path: str, cells: int = CELLS, id_col: str = "id", vector: str = "embedding") -> str:
-    """Write the index partitioned by ``cell``, and per cell its centroid, radius and number of rows."""
+    """Write the index partitioned by ``cell``, and per cell its centroid, radius and number of rows.
+
+    A new version is written and then pointed to, as ``publish`` does, so the version before stays readable.
+    An index without rows fails before anything is written.
+    """
+    if index.isEmpty():
+        raise ValueError("no rows to index")
+    return publish(index.sparkSession, path, lambda folder: _write_cells(index, folder, cells, id_col, vector))
+
+
+def _write_cells(index: DataFrame, path: str, cells: int, id_col: str, vector: str) -> None:
     spark = index.sparkSession
     centres = _centroids(index, cells, id_col, vector)
 
@@ -77,18 +86,17 @@ def save_cells(index: DataFrame, path: str, cells: int = CELLS, id_col: str = "i
     placed = index.withColumn("_fine", _is_finite(vector)).mapInArrow(place, schema)
     # a cell's rows lie together, a large cell's over several tasks
     spreads = F.pmod(F.xxhash64(id_col), F.lit(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))))
-    placed.repartition("cell", spreads).write.mode("overwrite").partitionBy("cell").parquet(f"{path}/rows")
+    placed.repartition("cell", spreads).write.partitionBy("cell").parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows") if len(centres) else None
     sizes = {r.cell: (r.n, r.radius) for r in rows.groupBy("cell").agg(F.count("*").alias("n"), F.max("to_centre").alias("radius")).collect()} if rows else {}
     told = [(c, n, r, centres[c].tolist() if c != LOOSE else []) for c, (n, r) in sorted(sizes.items())]
-    spark.createDataFrame(told, "cell int, n long, radius double, centre array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/cells")
-    return path
+    spark.createDataFrame(told, "cell int, n long, radius double, centre array<double>").coalesce(1).write.parquet(f"{path}/cells")
 
 
 def load_cells(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(rows, cells) of a saved index."""
-    require_path(spark, path, f"no index at {path}: build and save one first")
-    return spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/cells")
+    folder = current_version(spark, path)
+    return spark.read.parquet(f"{folder}/rows"), spark.read.parquet(f"{folder}/cells")
 
 
 def _in_cells(rows: DataFrame, wanted: dict[int, list[int]], asked: pa.Table, k: int, out: T.StructType) -> DataFrame:

@@ -30,8 +30,8 @@ SLICE_BYTES = 32 << 20
 # distances held at once by one task
 BLOCK_CELLS = 1 << 21
 PAIR_BLOCK = 1 << 15
-# an index's versions, and the file that names the one in use; readers of tables skip such names
-VERSIONS, POINTER = "_versions", "_current"
+# an index's versions, the file that names the one in use, and the mark of a complete one; readers of tables skip such names
+VERSIONS, POINTER, COMPLETE = "_versions", "_current", "_COMPLETE"
 # rough size of a hit: four values
 HIT_BYTES = 64
 
@@ -195,28 +195,34 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def save_index(vectors: DataFrame, path: str) -> str:
-    """Write a new version of the index below ``path`` and point to it.
+    """Write a new version of the index below ``path`` and point to it."""
+    return publish(vectors.sparkSession, path, lambda folder: vectors.write.parquet(folder))
+
+
+def publish(spark: SparkSession, path: str, write: Callable[[str], None]) -> str:
+    """Let ``write`` fill a new version's folder below ``path``, then point to it.
 
     Each version has a folder of its own. The pointer is replaced in one rename once the version is
     complete, so a job that fails, and a reader at work, keep the version before; older ones go.
     """
-    spark = vectors.sparkSession
+    jvm = spark.sparkContext._jvm
     version = uuid.uuid4().hex
-    vectors.write.parquet(f"{path}/{VERSIONS}/{version}")
+    write(f"{path}/{VERSIONS}/{version}")
     before = _pointed(spark, path)
-    fresh, fs = _file_system(spark, f"{path}/{POINTER}.{version}")
+    done, fs = _file_system(spark, f"{path}/{VERSIONS}/{version}/{COMPLETE}")
+    fs.create(done, True).close()
+    fresh = jvm.org.apache.hadoop.fs.Path(f"{path}/{POINTER}.{version}")
     out = fs.create(fresh, True)
     out.write(bytearray(version.encode()))
     out.close()
-    jvm = spark.sparkContext._jvm
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
     context.rename(fs.makeQualified(fresh), fs.makeQualified(_file_system(spark, f"{path}/{POINTER}")[0]), options)
     for status in fs.listStatus(_file_system(spark, f"{path}/{VERSIONS}")[0]):
-        # a version that another job still writes has no success mark
+        # a version that another job still writes has no mark
         folder = status.getPath()
-        if folder.getName() not in (version, before) and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")):
+        if folder.getName() not in (version, before) and fs.exists(jvm.org.apache.hadoop.fs.Path(folder, COMPLETE)):
             fs.delete(folder, True)
     return path
 
@@ -233,10 +239,15 @@ def _pointed(spark: SparkSession, path: str) -> str | None:
         stream.close()
 
 
+def current_version(spark: SparkSession, path: str) -> str:
+    """The folder of the version that was last completed."""
+    require_path(spark, f"{path}/{POINTER}", f"no index at {path}: build and save one first")
+    return f"{path}/{VERSIONS}/{_pointed(spark, path)}"
+
+
 def load_index(spark: SparkSession, path: str) -> DataFrame:
     """The version of the index that was last completed."""
-    require_path(spark, f"{path}/{POINTER}", f"no index at {path}: build and save one first")
-    return spark.read.parquet(f"{path}/{VERSIONS}/{_pointed(spark, path)}")
+    return spark.read.parquet(current_version(spark, path))
 
 
 # ---------------------------------------------------------------- search

@@ -120,6 +120,9 @@ def test_cells_find_what_the_whole_scan_finds_and_read_few_partitions(spark, tmp
     read = {r.cell for r in held.select("cell", F.input_file_name().alias("f")).distinct().collect()}
     wanted = cells._in_cells(held.select("id", F.col("embedding").alias("vector"), "cell"), {3: [0], 7: [0]}, queries.select("query_id", F.col("embedding").alias("vector")).toArrow(), 5, exact.select("query_id", "id", "distance").schema)
     plan = wanted._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(ValueError, match="no rows"):
+        cells.save_cells(table.limit(0), str(tmp_path / "index"))
+    assert cells.load_cells(spark, str(tmp_path / "index"))[0].count() == len(rows)
     assert len(read) == 20 and "PartitionFilters: [cell" in plan
     assert len({f for f in wanted.inputFiles()}) <= len(held.inputFiles())
 
