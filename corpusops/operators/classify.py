@@ -12,8 +12,8 @@ import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, NaiveBayes
-from pyspark.ml.feature import IDF, HashingTF
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +43,10 @@ def featurize(rows: DataFrame, text: str, slots: int = 1 << 14) -> DataFrame:
 
 def md5_counts(rows: DataFrame, text: str, slots: int = 64) -> DataFrame:
     """Token counts by md5 slot, which any engine can repeat; a null text has none."""
-    hits = F.transform(tokens(F.coalesce(F.col(text), F.lit(""))), lambda t: F.conv(F.substring(F.md5(t), 1, 6), 16, 10).cast("int") % slots)
-    add = lambda held, hit: F.transform(held, lambda n, slot: n + F.when(slot == hit, 1.0).otherwise(0.0))
-    return rows.withColumn("counts", array_to_vector(F.aggregate(hits, F.array_repeat(F.lit(0.0), slots), add)))
+    hits = F.transform(tokens(F.coalesce(F.col(text), F.lit(""))), lambda t: (F.conv(F.substring(F.md5(t), 1, 6), 16, 10).cast("int") % slots).cast("string"))
+    # one step per token, where a fold over arrays takes one per token and slot
+    counted = CountVectorizerModel.from_vocabulary([str(s) for s in range(slots)], inputCol="_hits", outputCol="counts")
+    return counted.transform(rows.withColumn("_hits", hits)).drop("_hits")
 
 
 def weighted_bayes(smoothing: float = 1.0) -> Pipeline:

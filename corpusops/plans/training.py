@@ -18,10 +18,13 @@ SMOOTHINGS = {1: 0.1, 2: 1.0, 3: 10.0}
 
 def _held_out(rows, text, reload: bool = False):
     """Predictions of the test side by a model of the train side, saved and loaded in between if asked."""
-    ready = durable(classify.md5_counts(rows, text, SLOTS))
+    return _told(durable(classify.md5_counts(rows, text, SLOTS)), reload)
+
+
+def _told(ready, reload: bool = False):
     model = classify.fit(ready.where(F.col("split") == "train"), classify.weighted_bayes())
     if reload:
-        path = scratch_path(rows.sparkSession, "model")
+        path = scratch_path(ready.sparkSession, "model")
         model.write().overwrite().save(path)
         model = PipelineModel.load(path)
     return classify.predict(model, ready.where(F.col("split") == "test"))
@@ -49,8 +52,9 @@ def bayes_cv_predictions(spark, sf_dir):
 
 def bayes_code_report(spark, sf_dir):
     """Accuracy per kind of defect on sources that training has not seen."""
-    rows = splits.group_holdout(mutation.examples(sources(spark, sf_dir)), "source_id")
-    report = metrics.by_category(_held_out(rows, "code"), "mutation", worst_first=False)
+    # the examples are made once, and leave their counts instead of their text
+    ready = durable(classify.md5_counts(mutation.examples(sources(spark, sf_dir)), "code", SLOTS).drop("code"))
+    report = metrics.by_category(_told(splits.group_holdout(ready, "source_id")), "mutation", worst_first=False)
     return report.withColumn("ratio", F.round("ratio", 6))
 
 
