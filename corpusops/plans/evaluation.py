@@ -102,15 +102,17 @@ def cv_predictions(spark, sf_dir):
 
 
 def _code_model(spark, sf_dir):
-    """Examples of the code corpus split by source, and a model of the train side."""
-    rows = splits.group_holdout(durable(mutation.examples(sources(spark, sf_dir))), "source_id")
-    return rows, classify.fit(classify.featurize(rows.where(F.col("split") == "train"), "code"))
+    """Features of the examples of the code corpus, split by source, and a model of the train side."""
+    # a fit reads its rows many times: they are written as features, without their text
+    ready = durable(classify.featurize(mutation.examples(sources(spark, sf_dir)), "code").drop("code"))
+    rows = splits.group_holdout(ready, "source_id")
+    return rows, classify.fit(rows.where(F.col("split") == "train"))
 
 
 def code_classifier_report(spark, sf_dir):
     """Accuracy per kind of defect on sources that training has not seen."""
     rows, model = _code_model(spark, sf_dir)
-    scored = classify.predict(model, classify.featurize(rows.where(F.col("split") == "test"), "code"))
+    scored = classify.predict(model, rows.where(F.col("split") == "test"))
     return _rounded(metrics.by_category(scored, "mutation", worst_first=False), "ratio")
 
 

@@ -15,7 +15,7 @@ def stop(df, *by):
     raise Written(df.columns)
 
 
-@pytest.mark.parametrize("plans, query", [(training, "bayes_code_report")])
+@pytest.mark.parametrize("plans, query", [(training, "bayes_code_report"), (evaluation, "code_classifier_report"), (evaluation, "fresh_code_report")])
 def test_examples_leave_features_only(spark, monkeypatch, plans, query):
     monkeypatch.setattr(plans, "durable", stop)
     with pytest.raises(Written) as first:
