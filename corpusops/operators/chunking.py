@@ -6,10 +6,10 @@ import ast
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusops.functions.text import NEWLINE
 from corpusops.operators.arrow_rows import flat_map
@@ -87,10 +87,19 @@ def chunk_fixed(docs: DataFrame, text: str = "text", size: int = CHUNK_CHARS) ->
     return docs.select(*rest, F.posexplode(runs).alias("chunk_index", "chunk")).withColumn("n_chars", F.length("chunk"))
 
 
-@F.pandas_udf(T.ArrayType(T.LongType()))
-def _starts(lengths: pd.Series) -> pd.Series:
+def _running(lengths: pa.Array) -> pa.Array:
+    sizes = lengths.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    # the rows of a batch lie one behind another: one sum over all, less what it was where a row begins
+    starts = lengths.flatten().to_numpy(zero_copy_only=False) + 1
+    total = np.append(0, np.cumsum(starts))
+    ends = np.cumsum(sizes)
+    starts = total[:-1] - np.repeat(total[ends - sizes], sizes)
+    return pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(starts), mask=lengths.is_null())
+
+
+def _starts(lengths: Column) -> Column:
     """Offset of each line from the lengths of those before it, one newline after each."""
-    return lengths.map(lambda n: None if n is None else (n + 1).cumsum() - (n + 1))
+    return F.arrow_udf(_running, "array<bigint>")(lengths)
 
 
 def chunk_lines(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -61,10 +61,12 @@ def best_epoch(spark, sf_dir):
 
 def word_cuts(docs):
     """(doc_id, at): where chunks of ``PIECES`` blank-separated pieces begin, in characters; their lengths differ."""
-    split = docs.select("doc_id", F.split("text", " ", -1).alias("pieces"))
-    starts = chunking._starts(F.transform("pieces", lambda p: F.length(p).cast("bigint")))
-    each = split.select("doc_id", F.posexplode(starts).alias("nth", "at"))
-    return each.where((F.col("nth") % PIECES == 0) & (F.col("nth") > 0)).select("doc_id", "at")
+    # only one length per chunk goes to Python; \G keeps the search linear where blanks are few
+    runs = F.regexp_extract_all("text", F.lit(rf"\G(?:[^ ]*+ ){{{PIECES}}}"), F.lit(0))
+    ends_in_blank = F.transform(runs, lambda run: F.length(run).cast("bigint") - 1)
+    starts = chunking._starts(F.concat(ends_in_blank, F.array(F.lit(0).cast("bigint"))))
+    each = docs.select("doc_id", F.posexplode(starts).alias("nth", "at"))
+    return each.where(F.col("nth") > 0).select("doc_id", "at")
 
 
 def interval_split_rate(spark, sf_dir):
