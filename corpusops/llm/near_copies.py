@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusops.llm.components import components
-from corpusops.llm.repeats import LAST_ID
 from corpusops.llm.words import Texts, slices, texts_of
 from corpusops.session import durable
 
@@ -36,8 +35,6 @@ WHOLE = 16
 PAIR, OPEN = 0, 1
 # entries whose groups are compared together
 TOGETHER = 1 << 18
-WHITE = r"[\x20\x09-\x0D]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def lowered(texts: Texts) -> Texts:
@@ -208,13 +205,27 @@ def across(open_: DataFrame, tree: DataFrame) -> DataFrame:
     return found.select("u", "v").distinct()
 
 
-def groups(rows: DataFrame, words: int = SHINGLE_WORDS, whole: int = WHOLE) -> DataFrame:
-    """(node, group) of rows (node, text) that chains of similar texts link to a smaller node."""
+def groups(rows: DataFrame, words: int = SHINGLE_WORDS, whole: int = WHOLE, linked: DataFrame | None = None) -> DataFrame:
+    """(node, group) of rows (node, text) that chains of similar texts link to a smaller node.
+
+    ``linked`` may name written pairs (u, v) that another join finds likely: they are checked first,
+    and what they link is not compared again.
+    """
     told = durable(grouped(rows, words, whole))
-    # of the texts of all nodes that a pair may have, once for both rounds
-    texts = packed_texts(rows, told.select("u").union(told.select("v")))
+    named = told.select("u").union(told.select("v"))
+    if linked is not None:
+        named = named.union(linked.select("u")).union(linked.select("v"))
+    # of the texts of all nodes that a pair may have, once for all rounds
+    texts = packed_texts(rows, named)
     pairs = durable(told.where(F.col("kind") == PAIR).select("u", "v").distinct())
-    tree = durable(components(durable(verified(pairs, texts, words))).toDF("node", "group"))
+    found, apart = None, pairs
+    if linked is not None:
+        found = durable(components(durable(verified(linked, texts, words))))
+        ours, theirs = found.toDF("u", "_a"), found.toDF("v", "_b")
+        named_pairs = pairs.join(ours, "u", "left").join(theirs, "v", "left")
+        apart = durable(named_pairs.where(F.coalesce("_a", "u") != F.coalesce("_b", "v")).select("u", "v"))
+    near = durable(verified(apart, texts, words))
+    tree = durable(components(near if found is None else found.union(near)).toDF("node", "group"))
     open_ = told.where(F.col("kind") == OPEN)
     if open_.isEmpty():
         return tree
@@ -259,31 +270,3 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS) ->
 
     a, b = texts.select(F.col("node").alias("u"), F.col("text").alias("a")), texts.select(F.col("node").alias("v"), F.col("text").alias("b"))
     return pairs.join(b, "v").join(a, "u").select("u", "v", "a", "b").mapInArrow(verify, "u long, v long")
-
-
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """One document of each group that chains of near copies link: the one with the smallest id, null ids last.
-
-    Case of A-Z and white space do not count; texts without words are copies of each other. An id may
-    repeat or be null: documents are told apart by id and text, and of equal ids the smaller digest of
-    the text stays. Rows that repeat both id and text count once.
-    """
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    ids = F.col(f"`{doc_id}`").cast("long")
-    own = F.struct(ids.isNull().alias("none"), F.coalesce(ids, F.lit(LAST_ID)).alias("id"), F.md5(value).alias("digest"))
-    # words without their white space: equal ones are copies, so only one of them is compared
-    same = F.md5(F.trim(F.regexp_replace(F.translate(value, UPPER, LOWER), WHITE, " ")))
-    keys = durable(docs.select(own.alias("own"), same.alias("same")))
-    first = keys.groupBy("same").agg(F.min("own").alias("own")).select("own.*")
-    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("own"))
-    kept = named.join(first, [F.col(f"own.{c}") == first[c] for c in ("none", "id", "digest")], "left_semi")
-    if keys.groupBy("own").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
-        kept = kept.dropDuplicates(["own"])
-    rows = durable(kept.withColumn("node", F.monotonically_increasing_id()))
-    texts = rows.select("node", F.coalesce(F.col(f"row.`{text}`"), F.lit("")).alias("text"))
-    tree = durable(groups(texts, words))
-    members = tree.union(tree.select("group", "group").distinct())
-    ranked = durable(members.join(rows.select("node", "own"), "node"))
-    stay = ranked.groupBy("group").agg(F.min("own").alias("own"))
-    gone = ranked.join(stay.withColumnRenamed("own", "least"), "group").where("own <> least").select("node")
-    return rows.join(gone, "node", "left_anti").select("row.*")

@@ -16,8 +16,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusops.llm import near_copies
 from corpusops.llm.components import components
-from corpusops.llm.near_copies import deduplicated  # noqa: F401
 from corpusops.llm.repeats import LAST_ID
 from corpusops.llm.words import Texts, slices
 from corpusops.session import durable
@@ -25,6 +25,10 @@ from corpusops.session import durable
 SHINGLE_WORDS = 3
 SEED = 42
 BUDGET = 2
+# bits in which fingerprints of likely near copies differ at most; a wider budget would leave the blocks few bits
+NEAR_BUDGET = 3
+WHITE = r"[\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # fingerprints of one subtree that a task takes whole; a larger one is dealt as pairs of nodes SPLIT_BITS deeper
 SUBTREE = 1 << 17
 SPLIT_BITS = 8
@@ -220,3 +224,43 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tree = components(links(nodes, budget))
     named = nodes.join(tree, F.col("node") == F.col("u"), "left").select("fp", F.coalesce("v", "node").alias("component_id"))
     return marked.join(named, "fp").select("doc_id", "id", "fp", "component_id")
+
+
+def likely(rows: DataFrame, words: int, budget: int) -> DataFrame:
+    """(u, v), written, of rows (node, text): at most a few links a node that join all whose fingerprints are within the budget."""
+    marked = durable(fingerprints(rows, "node", "text", words))
+    firsts = marked.groupBy("fp").agg(F.min("id").alias("node"))
+    same = marked.join(firsts, "fp").where("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
+    close = links(firsts, budget).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    return durable(same.union(close).distinct())
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = near_copies.SHINGLE_WORDS, budget: int = NEAR_BUDGET) -> DataFrame:
+    """One document of each group that chains of near copies link: the one with the smallest id, null ids last.
+
+    The trie join links first; each of its links is held against the shingles of both texts. Fingerprints
+    of near copies may differ in more bits than a trie join can allow for, so documents that it leaves in
+    different groups meet by their shingles (``near_copies.groups``), and no link is lost.
+    Case of A-Z and white space do not count; texts without words are copies of each other. An id may
+    repeat or be null: documents are told apart by id and text, and of equal ids the smaller digest of
+    the text stays. Rows that repeat both id and text count once.
+    """
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    ids = F.col(f"`{doc_id}`").cast("long")
+    own = F.struct(ids.isNull().alias("none"), F.coalesce(ids, F.lit(LAST_ID)).alias("id"), F.md5(value).alias("digest"))
+    # words without their white space: equal ones are copies, so only one of them is compared
+    same = F.md5(F.trim(F.regexp_replace(F.translate(value, UPPER, LOWER), WHITE, " ")))
+    keys = durable(docs.select(own.alias("own"), same.alias("same")))
+    first = keys.groupBy("same").agg(F.min("own").alias("own")).select("own.*")
+    named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), own.alias("own"))
+    kept = named.join(first, [F.col(f"own.{c}") == first[c] for c in ("none", "id", "digest")], "left_semi")
+    if keys.groupBy("own").agg(F.count("*").alias("n")).where("n > 1").limit(1).count():
+        kept = kept.dropDuplicates(["own"])
+    rows = durable(kept.withColumn("node", F.monotonically_increasing_id()))
+    texts = rows.select("node", F.coalesce(F.col(f"row.`{text}`"), F.lit("")).alias("text"))
+    tree = durable(near_copies.groups(texts, words, linked=likely(texts, words, budget)))
+    members = tree.union(tree.select("group", "group").distinct())
+    ranked = durable(members.join(rows.select("node", "own"), "node"))
+    stay = ranked.groupBy("group").agg(F.min("own").alias("own"))
+    gone = ranked.join(stay.withColumnRenamed("own", "least"), "group").where("own <> least").select("node")
+    return rows.join(gone, "node", "left_anti").select("row.*")
