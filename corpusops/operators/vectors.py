@@ -30,6 +30,8 @@ SLICE_BYTES = 32 << 20
 # distances held at once by one task
 BLOCK_CELLS = 1 << 21
 PAIR_BLOCK = 1 << 15
+# tokens, vector components or code points that a Python worker turns into arrays at once, whatever a batch holds
+RUN_CELLS = 1 << 20
 # an index's versions, the file that names the one in use, and the mark of a complete one; readers of tables skip such names
 VERSIONS, POINTER, COMPLETE = "_versions", "_current", "_COMPLETE"
 # rough size of a hit: four values
@@ -56,24 +58,30 @@ def _slot(token: str, dims: int) -> int:
     return int(hashlib.md5(token.encode()).hexdigest()[:6], 16) % dims if token else -1
 
 
+def _runs(lengths: np.ndarray, rows: int) -> Iterator[tuple[int, int]]:
+    """Row runs of at most ``rows`` rows and some ``RUN_CELLS`` values, at least one row."""
+    ends, low = np.cumsum(lengths), 0
+    while low < len(ends):
+        full = np.searchsorted(ends, (ends[low - 1] if low else 0) + RUN_CELLS, "right")
+        high = max(low + 1, min(low + rows, int(full)))
+        yield low, high
+        low = high
+
+
 def _slot_counts(tokens: pa.ListArray, dims: int) -> Iterator[np.ndarray]:
     """Token counts per slot, as matrices of some rows each.
 
-    Equal tokens are hashed once per batch; the rest is index arithmetic.
+    Equal tokens of such rows are hashed once; the rest is index arithmetic.
     """
-    coded = tokens.flatten().dictionary_encode()
-    slot_of = np.array([_slot(t, dims) for t in coded.dictionary.to_pylist()], dtype=np.int64)
-    codes = coded.indices.to_numpy(zero_copy_only=False)
-    ends = np.cumsum(tokens.value_lengths().to_numpy(zero_copy_only=False))
-    step = max(1, BLOCK_CELLS // dims)
-    for at in range(0, len(tokens), step):
-        stop = min(at + step, len(tokens))
-        first = ends[at - 1] if at else 0
-        slots = slot_of[codes[first : ends[stop - 1]]] if len(codes) else codes
-        rows = np.repeat(np.arange(stop - at), np.diff(ends[at:stop], prepend=first))
+    lengths = tokens.value_lengths().to_numpy(zero_copy_only=False)
+    for low, high in _runs(lengths, max(1, RUN_CELLS // dims)):
+        coded = tokens.slice(low, high - low).flatten().dictionary_encode()
+        slot_of = np.array([_slot(t, dims) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+        slots = slot_of[coded.indices.to_numpy(zero_copy_only=False)]
+        rows = np.repeat(np.arange(high - low), lengths[low:high])
         real = slots >= 0
         cells = rows[real] * dims + slots[real]
-        yield np.bincount(cells, minlength=(stop - at) * dims).reshape(stop - at, dims)
+        yield np.bincount(cells, minlength=(high - low) * dims).reshape(high - low, dims)
 
 
 def slot_weights(docs: DataFrame, text: str, dims: int) -> np.ndarray:
@@ -97,18 +105,22 @@ def slot_weights(docs: DataFrame, text: str, dims: int) -> np.ndarray:
     return np.log((df[-1] + 1) / (df[:-1] + 1))
 
 
+def _unit_vectors(tokens: pa.ListArray, weights: np.ndarray) -> Iterator[np.ndarray]:
+    """Token counts times slot weights at length one, as matrices of some rows each."""
+    for counts in _slot_counts(tokens, len(weights)):
+        block = counts * weights
+        norms = np.sqrt(np.einsum("ij,ij->i", block, block))
+        yield block / np.where(norms > 0, norms, 1.0)[:, None]
+
+
 def weighed_tokens(tokens: Column, weights: np.ndarray) -> Column:
     """Unit vector of token counts times slot weights; all zero when nothing carries weight."""
     dims = len(weights)
 
-    def build(batch: pa.Array) -> pa.Array:
-        blocks = [np.zeros((0, dims))]
-        for counts in _slot_counts(batch, dims):
-            block = counts * weights
-            norms = np.sqrt(np.einsum("ij,ij->i", block, block))
-            blocks.append(block / np.where(norms > 0, norms, 1.0)[:, None])
-        offsets = np.arange(len(batch) + 1, dtype=np.int32) * dims
-        return pa.ListArray.from_arrays(offsets, np.concatenate(blocks).ravel())
+    def build(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for block in _unit_vectors(batch, weights):
+                yield pa.ListArray.from_arrays(np.arange(len(block) + 1, dtype=np.int32) * dims, block.ravel())
 
     return F.arrow_udf(build, "array<double>")(tokens)
 
@@ -262,22 +274,28 @@ def search(
     query_id: str = "query_id",
     digits: int | None = None,
     slice_bytes: int = SLICE_BYTES,
+    embedder: HashedEmbedder | None = None,
 ) -> DataFrame:
     """The k nearest index rows of each query by L2 distance: (query_id, rank, id, distance).
 
     Exact distances rank, ties go to the smaller id. ``digits`` rounds distances before they rank,
     for callers whose vectors carry rounding noise of their own. A vector with a NaN, infinite or
     null component is infinitely far from all, on either side. With fewer than k index rows, all
-    are hits.
+    are hits. With an ``embedder`` the index holds ``text`` instead of vectors: a scan makes them where
+    it compares them, some rows at a time.
     """
     asked = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"))
-    held = index.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
+    if embedder is None:
+        held = index.select(F.col(id_col).alias("id"), F.col(vector).alias("vector"))
+    else:
+        held = index.select(F.col(id_col).alias("id"), F.col("text"))
     out = T.StructType([asked.schema["query_id"], held.schema["id"], T.StructField("distance", T.DoubleType())])
     count, dims = asked.agg(F.count("*"), F.max(F.size("vector"))).first()
     query_bytes = count * (dims or 1) * 8
     if query_bytes <= slice_bytes:
-        found = _scan(held, asked, k, digits, out)
+        found = _scan(held, asked, k, digits, out, embedder)
     else:
+        held = held if embedder is None else embedder.embed(held, out="vector").drop("text")
         blocks = max(1, -(-held.count() * (dims or 1) * 8 // slice_bytes))
         found = _blocked(held, asked, k, digits, out, blocks, -(-query_bytes // slice_bytes))
     best = W.partitionBy("query_id").orderBy("distance", "id")
@@ -287,14 +305,22 @@ def search(
     return hits.hint("broadcast") if k * count * HIT_BYTES <= slice_bytes else hits
 
 
-def _scan(index: DataFrame, queries: DataFrame, k: int, digits: int | None, out: T.StructType) -> DataFrame:
+def _scan(
+    index: DataFrame, queries: DataFrame, k: int, digits: int | None, out: T.StructType, embedder: HashedEmbedder | None = None
+) -> DataFrame:
     """k rows per query from each task; ``queries`` is one slice of bounded size."""
     asked = queries.toArrow()
     matrix = _matrix(asked.column("vector"), None)
     shared = index.sparkSession.sparkContext.broadcast((asked.column("query_id").to_pandas(), matrix))
+    encode = None
+    if embedder is not None:
+        index, weights = index.select("id", raw_tokens(F.col("text")).alias("vector")), embedder.weights
+
+        def encode(tokens: pa.ListArray) -> Iterator[np.ndarray]:
+            return _unit_vectors(tokens, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _best_of(*shared.value, batches, k, digits)
+        yield from _best_of(*shared.value, batches, k, digits, encode)
 
     return index.mapInArrow(run, out)
 
@@ -321,21 +347,34 @@ def _blocked(
 
 
 def _best_of(
-    names: pd.Series, asked: np.ndarray, batches: Iterable[pa.RecordBatch], k: int, digits: int | None
+    names: pd.Series,
+    asked: np.ndarray,
+    batches: Iterable[pa.RecordBatch],
+    k: int,
+    digits: int | None,
+    encode: Callable[[pa.Array], Iterator[np.ndarray]] | None = None,
 ) -> Iterator[pa.RecordBatch]:
     best = None
     for batch in batches:
         if batch.num_rows and len(names):
-            ids = batch.column("id").to_pandas()
-            vectors = _matrix(batch.column("vector"), asked.shape[1])
-            near = _near(asked, vectors, ids, k, digits, best)
-            if near:
-                best = _merge(best, near, k)
+            low = 0
+            for vectors in (encode or _matrices(asked.shape[1]))(batch.column("vector")):
+                ids = batch.column("id").slice(low, len(vectors)).to_pandas()
+                low += len(vectors)
+                near = _near(asked, vectors, ids, k, digits, best)
+                if near:
+                    best = _merge(best, near, k)
     if best is not None:
         best = best.assign(query_id=names.to_numpy()[best["query"]])
         yield pa.RecordBatch.from_pandas(best[["query_id", "id", "distance"]], preserve_index=False)
 
 
+def _matrices(dims: int) -> Callable[[pa.Array], Iterator[np.ndarray]]:
+    """Turns a list column into matrices of some rows each."""
+    step = max(1, RUN_CELLS // max(1, dims))
+    return lambda column: (_matrix(column.slice(low, step), dims) for low in range(0, len(column), step))
+
+
 def _matrix(vectors, dims: int | None) -> np.ndarray:
     """Rows of a list column as one matrix of doubles; rows of unequal length are an error."""
     values = vectors.combine_chunks() if isinstance(vectors, pa.ChunkedArray) else vectors
@@ -370,6 +409,7 @@ def _near(
     asked_sq = np.einsum("ij,ij->i", asked, asked)
     rounding = 0.0 if digits is None else 10.0**-digits
     step = max(1, BLOCK_CELLS // len(held))
+    pairs = min(PAIR_BLOCK, max(1, RUN_CELLS // max(1, held.shape[1])))
     parts = []
     for at in range(0, len(asked), step):
         block = slice(at, at + step)
@@ -381,8 +421,8 @@ def _near(
         if len(held) > k:
             limit = np.minimum(limit, np.partition(near, k - 1, axis=1)[:, k - 1])
         rows, columns = np.nonzero(near <= (limit + rounding + 2 * np.sqrt(slack))[:, None])
-        for cut in range(0, len(rows), PAIR_BLOCK):
-            row, column = rows[cut : cut + PAIR_BLOCK] + at, columns[cut : cut + PAIR_BLOCK]
+        for cut in range(0, len(rows), pairs):
+            row, column = rows[cut : cut + pairs] + at, columns[cut : cut + pairs]
             exact = np.sqrt(((asked[row] - held[column]) ** 2).sum(axis=1))
             exact = np.where(np.isnan(exact), np.inf, exact if digits is None else exact.round(digits))
             parts.append(pd.DataFrame({"query": row, "distance": exact, "id": ids.to_numpy()[column]}))

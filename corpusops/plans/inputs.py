@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
@@ -241,7 +241,7 @@ def passages_in_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _finder(shared):
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import ahocorasick
 
         by_text = {}
@@ -252,7 +252,12 @@ def _finder(shared):
         for text, items in by_text.items():
             words.add_word(text, items)
         words.make_automaton()
+
+        def inside(text: str | None) -> list[int]:
+            return sorted({i for _, ids in words.iter(text) for i in ids}) if text and by_text else []
+
         for batch in batches:
-            yield pd.Series([sorted({i for _, ids in words.iter(t) for i in ids}) if t and by_text else [] for t in batch])
+            # one text at a time is a Python string
+            yield pa.array([inside(t.as_py()) for t in batch], pa.list_(pa.int64()))
 
-    return F.pandas_udf(find, "array<bigint>")
+    return F.arrow_udf(find, "array<bigint>")

@@ -110,7 +110,8 @@ def _code_hits(spark, sf_dir, k=V.DEFAULT_K):
     chunks = _code_index(spark, sf_dir)
     queries = spark.createDataFrame(EVAL_SET, list(EVAL_COLUMNS))
     embedder = V.HashedEmbedder(CODE_DIMS).fit(chunks, "content")
-    hits = V.search(embedder.embed(chunks, "content"), embedder.embed(queries, "query"), k, id_col="key", digits=TEXT_DIGITS)
+    held = chunks.select("key", F.col("content").alias("text"))
+    hits = V.search(held, embedder.embed(queries, "query"), k, id_col="key", digits=TEXT_DIGITS, embedder=embedder)
     return queries, V.describe_hits(hits, chunks, key="key")
 
 
@@ -132,7 +133,7 @@ def lexical_retrieval_eval(spark, sf_dir):
     held = passages_in_documents(docs, items).groupBy("item_id").agg(F.min("doc_id").alias("expected_id"))
     embedder = V.HashedEmbedder(TEXT_DIMS).fit(docs)
     asked = embedder.embed(items).withColumnRenamed("item_id", "query_id")
-    hits = V.search(embedder.embed(docs), asked, DEPTH, id_col="doc_id", digits=TEXT_DIGITS)
+    hits = V.search(docs, asked, DEPTH, id_col="doc_id", digits=TEXT_DIGITS, embedder=embedder)
     log = ireval.retrieval_log(held.withColumnRenamed("item_id", "query_id"), hits)
     return _rounded(ireval.retrieval_summary(log))
 
@@ -142,7 +143,7 @@ def lexical_topk(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "text")
     embedder = V.HashedEmbedder(TEXT_DIMS).fit(docs)
     asked = embedder.embed(table(spark, sf_dir, "benchmark")).withColumnRenamed("item_id", "query_id")
-    return V.search(embedder.embed(docs), asked, DEPTH, id_col="doc_id", digits=TEXT_DIGITS)
+    return V.search(docs, asked, DEPTH, id_col="doc_id", digits=TEXT_DIGITS, embedder=embedder)
 
 
 # ---------------------------------------------------------------- SQL
