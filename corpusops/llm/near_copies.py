@@ -92,6 +92,12 @@ def common_shingles(rows: DataFrame, words: int) -> np.ndarray:
     return packed
 
 
+def is_common(packed: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Each hash's bit of ``common_shingles``, read where it lies: the bitmap is not unpacked in every task."""
+    spot = (hashes % np.uint64(BITMAP)).astype(np.int64)
+    return (packed[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1
+
+
 def grouped(rows: DataFrame, words: int = SHINGLE_WORDS, whole: int = WHOLE) -> DataFrame:
     """What groups of one shingle tell of rows (node, text), as (kind, u, v, shingle, size, place).
 
@@ -102,11 +108,9 @@ def grouped(rows: DataFrame, words: int = SHINGLE_WORDS, whole: int = WHOLE) ->
     packed = common_shingles(rows, words)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.unpackbits(packed, bitorder="little").astype(bool)
         for batch, texts in slices(batches, "text"):
             doc, hashes = shingles(lowered(texts), words)
-            last = known[(hashes % np.uint64(BITMAP)).astype(np.int64)]
-            order = np.lexsort((hashes, last, doc))
+            order = np.lexsort((hashes, is_common(packed, hashes), doc))
             hashes = hashes[order]
             sizes = np.bincount(doc, minlength=batch.num_rows)
             place = np.arange(len(doc)) - (np.cumsum(sizes) - sizes)[doc]
@@ -247,7 +251,7 @@ def packed_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=9)
         for batch in batches:
-            packed = [press.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            packed = [press.compress(t.as_buffer()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "text"])
 
     ends = nodes.toDF("node").distinct()
@@ -259,10 +263,10 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = SHINGLE_WORDS) ->
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
-        read = lambda packed: shingle_set(unpack.decompress(packed).decode(), words)
+        read = lambda packed: shingle_set(unpack.decompress(packed.as_buffer()).decode(), words)
         for batch in batches:
             keep, last, ours = [], None, set()
-            for u, a, b in zip(*(batch.column(c).to_pylist() for c in ("u", "a", "b"))):
+            for u, a, b in zip(batch.column("u").to_pylist(), batch.column("a"), batch.column("b")):
                 if u != last:
                     last, ours = u, read(a)
                 keep.append(similar(ours, read(b)))

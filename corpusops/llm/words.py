@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 # text per slice: bounds the arrays that are alive at once; a longer document is a slice of its own
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 BYTE_BASE = 0x9E3779B97F4A7C15 | 1
 WORD_BASE = 0xD1B54A32D192ED03 | 1
 
