@@ -8,6 +8,9 @@ small; the order decides only what is compared. The texts of each pair decide on
 Only groups are asked for, so a large group of one shingle is first compared along a chain of
 neighbours. What that links is one group of documents from then on, with its least node as its
 representative; afterwards only documents of different groups are compared, all of them.
+
+Texts that share some shingles by chance make candidates that grow faster than the texts. One bit per
+shingle turns nearly all of them down before any text travels.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 
 from corpusops.llm.components import components
 from corpusops.llm.words import Texts, slices, texts_of
+from corpusops.operators.set_bits import parity_bits, plausible
 from corpusops.session import durable
 
 SHINGLE_WORDS = 5
@@ -179,6 +183,25 @@ def _by_group(together: Callable, values: tuple[str, ...]) -> Callable:
     return run
 
 
+def signatures(rows: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """(node, size, bits) of rows (node, text): the number of shingles and their ``parity_bits``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in slices(batches, "text"):
+            doc, hashes = shingles(lowered(texts), words)
+            sizes = np.bincount(doc, minlength=batch.num_rows).astype(np.int32)
+            columns = [batch.column("node"), pa.array(sizes), parity_bits(doc, hashes, batch.num_rows)]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "size", "bits"])
+
+    return rows.select("node", "text").mapInArrow(run, "node long, size int, bits binary")
+
+
+def comparable(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """The pairs (u, v) that may have the similarity by their written ``signatures``."""
+    a, b = bits.toDF("u", "n", "a"), bits.toDF("v", "m", "b")
+    return plausible(pairs.join(b, "v").join(a, "u"), "u", "v", SHARED, OF)
+
+
 def _labelled(open_: DataFrame, tree: DataFrame) -> DataFrame:
     """``OPEN`` entries with their group in ``tree`` (node, group)."""
     joined = open_.select(F.col("u").alias("node"), "shingle", "size", "place").join(tree, "node", "left")
@@ -216,12 +239,12 @@ def groups(rows: DataFrame, words: int = SHINGLE_WORDS, whole: int = WHOLE, link
     and what they link is not compared again.
     """
     told = durable(grouped(rows, words, whole))
-    named = told.select("u").union(told.select("v"))
+    bits = durable(signatures(rows, words))
+    pairs = durable(comparable(told.where(F.col("kind") == PAIR).select("u", "v").distinct(), bits))
+    named = pairs.select("u").union(pairs.select("v"))
     if linked is not None:
         named = named.union(linked.select("u")).union(linked.select("v"))
-    # of the texts of all nodes that a pair may have, once for all rounds
     texts = packed_texts(rows, named)
-    pairs = durable(told.where(F.col("kind") == PAIR).select("u", "v").distinct())
     found, apart = None, pairs
     if linked is not None:
         found = durable(components(durable(verified(linked, texts, words))))
@@ -233,9 +256,10 @@ def groups(rows: DataFrame, words: int = SHINGLE_WORDS, whole: int = WHOLE, link
     open_ = told.where(F.col("kind") == OPEN)
     if open_.isEmpty():
         return tree
-    rest = durable(across(open_, tree).join(pairs, ["u", "v"], "left_anti"))
+    rest = durable(comparable(across(open_, tree), bits).join(pairs, ["u", "v"], "left_anti"))
     if rest.isEmpty():
         return tree
+    texts = packed_texts(rows, rest.select("u").union(rest.select("v")))
     return components(tree.toDF("u", "v").union(verified(rest, texts, words))).toDF("node", "group")
 
 
@@ -254,7 +278,8 @@ def packed_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             packed = [press.compress(t.as_buffer()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(packed, pa.binary())], ["node", "text"])
 
-    ends = nodes.toDF("node").distinct()
+    # written, so that its size is known: where it is small, no text is dealt out
+    ends = durable(nodes.toDF("node").distinct())
     return durable(rows.select("node", "text").join(ends, "node", "left_semi").mapInArrow(pack, "node long, text binary"))
 
 

@@ -20,7 +20,7 @@ from corpusops.llm import near_copies
 from corpusops.llm.components import components
 from corpusops.llm.repeats import LAST_ID
 from corpusops.llm.words import Texts, slices
-from corpusops.session import durable
+from corpusops.session import durable, shuffles_go
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -235,16 +235,8 @@ def likely(rows: DataFrame, words: int, budget: int) -> DataFrame:
     return durable(same.union(close).distinct())
 
 
-def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = near_copies.SHINGLE_WORDS, budget: int = NEAR_BUDGET) -> DataFrame:
-    """One document of each group that chains of near copies link: the one with the smallest id, null ids last.
-
-    The trie join links first; each of its links is held against the shingles of both texts. Fingerprints
-    of near copies may differ in more bits than a trie join can allow for, so documents that it leaves in
-    different groups meet by their shingles (``near_copies.groups``), and no link is lost.
-    Case of A-Z and white space do not count; texts without words are copies of each other. An id may
-    repeat or be null: documents are told apart by id and text, and of equal ids the smaller digest of
-    the text stays. Rows that repeat both id and text count once.
-    """
+def _gone(docs: DataFrame, doc_id: str, text: str, words: int, budget: int) -> tuple[DataFrame, DataFrame]:
+    """Written (row, own, node) of the documents that are told apart by their words, and (node), written, of those that go."""
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     ids = F.col(f"`{doc_id}`").cast("long")
     own = F.struct(ids.isNull().alias("none"), F.coalesce(ids, F.lit(LAST_ID)).alias("id"), F.md5(value).alias("digest"))
@@ -263,4 +255,19 @@ def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", wo
     ranked = durable(members.join(rows.select("node", "own"), "node"))
     stay = ranked.groupBy("group").agg(F.min("own").alias("own"))
     gone = ranked.join(stay.withColumnRenamed("own", "least"), "group").where("own <> least").select("node")
+    return rows, durable(gone)
+
+
+def deduplicated(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = near_copies.SHINGLE_WORDS, budget: int = NEAR_BUDGET) -> DataFrame:
+    """One document of each group that chains of near copies link: the one with the smallest id, null ids last.
+
+    The trie join links first; each of its links is held against the shingles of both texts. Fingerprints
+    of near copies may differ in more bits than a trie join can allow for, so documents that it leaves in
+    different groups meet by their shingles (``near_copies.groups``), and no link is lost.
+    Case of A-Z and white space do not count; texts without words are copies of each other. An id may
+    repeat or be null: documents are told apart by id and text, and of equal ids the smaller digest of
+    the text stays. Rows that repeat both id and text count once.
+    """
+    with shuffles_go(docs.sparkSession):
+        rows, gone = _gone(docs, doc_id, text, words, budget)
     return rows.join(gone, "node", "left_anti").select("row.*")

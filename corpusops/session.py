@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,6 +61,23 @@ def durable(df: DataFrame, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_go(spark: SparkSession) -> Iterator[None]:
+    """Within, what an action dealt out leaves the disks when it ends, not when the driver next collects its garbage.
+
+    For steps that hand over by ``durable``: a frame that is collected twice is dealt out twice.
+    """
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_GO) if before is None else spark.conf.set(SHUFFLES_GO, before)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a small scan enough partitions for CPU-heavy row work; large scans pass through.
 
