@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 import corpusops
 from corpusops.llm import line_dedup, queries, simhash_trie, sparse_suffix, weak_labels
-from corpusops.session import durable
+from corpusops.session import durable, shuffles_go
 
 # the functions travel with the tasks, so executors need no copy of the package
 cloudpickle.register_pickle_by_value(corpusops)
@@ -63,5 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages one after another over ``documents``, each written before the next reads it."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = durable(stage(spark, docs, sf_dir))
+        kept = stage(spark, docs, sf_dir)
+        with shuffles_go(spark):
+            docs = durable(kept)
     return STAGES[-1][1](spark, docs, sf_dir)
